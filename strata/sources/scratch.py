@@ -1,0 +1,24 @@
+"""Folders for intermediate tables."""
+
+from __future__ import annotations
+
+import tempfile
+from uuid import uuid4
+
+from pyspark.sql import SparkSession
+
+CHECKPOINT_SETTING = "spark.checkpoint.dir"
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder path for one run, in the shared folder the session names.
+
+    Only a local-mode session that names none falls back to this machine's
+    temporary folder; a cluster without a shared folder is an error.
+    """
+    base = spark.conf.get(CHECKPOINT_SETTING, None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="run-")
+    return f"{base.rstrip('/')}/{label}-{uuid4().hex}"

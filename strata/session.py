@@ -4,6 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Runtime settings every job wants. Exact text of JSON numbers that are read as
+# text costs about ten times the parse; the contracts only need their value.
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.json.enableExactStringParsing": "false",
+}
+
 MIB = 1024 * 1024
 GIB = 1024 * MIB
 
@@ -23,6 +30,13 @@ def sizing(input_bytes: int) -> dict[str, str]:
     }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session that was built elsewhere."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def get_session(
     app_name: str = "strata",
     *,
@@ -39,7 +53,7 @@ def get_session(
     if active is not None:
         return active
     settings = {
-        "spark.sql.session.timeZone": "UTC",
+        **RUNTIME,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",

@@ -9,6 +9,7 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.session import tune
 from verification.oracles import oracle_sql
 from verification.queries import queries
 
@@ -64,4 +65,4 @@ def differences(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str)
 
 
 def check(spark: SparkSession, sf_dir: str, name: str) -> list[str]:
-    return differences(queries()[name](spark, sf_dir), connect(sf_dir), oracle_sql()[name])
+    return differences(queries()[name](tune(spark), sf_dir), connect(sf_dir), oracle_sql()[name])

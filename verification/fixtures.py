@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,27 +148,27 @@ def write_sales_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def _array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    lead = "["
-    for batch in batches:
-        if len(batch):
-            lines = batch["value"].copy()
-            lines[1:] = "," + lines[1:]
-            lines.iloc[0] = lead + lines.iloc[0]
-            lead = ","
-            yield pd.DataFrame({"value": lines})
-    yield pd.DataFrame({"value": ["[]" if lead == "[" else "]"]})
-
-
-def write_logistics_json(df: DataFrame, path: str, extra: tuple[str, ...] = ()) -> None:
+def write_logistics_json(df: DataFrame, path: str) -> None:
     """Raw logistics as files that each hold one JSON array over many lines.
 
-    Tasks stream their rows into the array, one file per task.
+    Tasks stream their rows into the array, one file per task. The helper is
+    nested so that workers need not import this package.
     """
+
+    def array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = "["
+        for batch in batches:
+            lines = []
+            for line in batch.column(0).to_pylist():
+                lines.append(lead + line)
+                lead = ","
+            yield pa.RecordBatch.from_pydict({"value": lines}, batch.schema)
+        closing = "[]" if lead == "[" else "]"
+        yield pa.RecordBatch.from_pydict({"value": [closing]})
+
     rows = df.select(
         *[F.col(c) for c in LOGISTICS_COLUMNS if c != "freight_cost"],
         F.col("freight_cost").cast("double").alias("freight_cost"),
-        *extra,
     )
     lines = rows.select(F.to_json(F.struct("*")).alias("value"))
-    lines.mapInPandas(_array_lines, "value string").write.text(path)
+    lines.mapInArrow(array_lines, "value string").write.text(path)

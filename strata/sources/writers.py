@@ -70,7 +70,8 @@ def overwrite_table(
     """Replace the whole table and its schema.
 
     All partitions are replaced, also in sessions set to dynamic overwrite.
-    On plain files the swap is not atomic: readers may see the table missing.
+    On plain files the swap is not atomic: readers may see the table missing,
+    and ``df`` must not read from ``path``, which is emptied first.
     """
     options = {"overwriteSchema": True, "partitionOverwriteMode": "static"}
     _save(df, path, "overwrite", options, fmt, partition_cols, distribute, watch)

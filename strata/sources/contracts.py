@@ -45,6 +45,23 @@ SALES_CONTRACT = text_contract(SALES_COLUMNS, "order_id")
 LOGISTICS_CONTRACT = text_contract(LOGISTICS_COLUMNS, "shipment_id")
 
 
+def bronze_schema(contract: T.StructType) -> T.StructType:
+    """Schema of a bronze table: the contract, corrupt text and audit columns.
+
+    Reading with it needs no footer merge; columns that only some ingestions
+    added are then left out.
+    """
+    audit = {
+        CORRUPT_COLUMN: T.StringType(),
+        "_ingestion_timestamp": T.TimestampType(),
+        "_source_file": T.StringType(),
+        "_layer": T.StringType(),
+        "_year": T.IntegerType(),
+    }
+    added = [T.StructField(name, kind, True) for name, kind in audit.items()]
+    return T.StructType([*contract.fields, *added])
+
+
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Exactly the contract's columns: cast, in order, missing ones as null."""
     present = set(df.columns)

@@ -5,12 +5,13 @@ import pytest
 
 from strata.plans import kpi, run_bronze, run_gold, run_silver
 from strata.plans.layers import read_silver
-from strata.sources import LayerPaths, read_table
+from strata.sources import LayerPaths, append_table, read_table
 from strata.sources.contracts import LOGISTICS_COLUMNS, SALES_COLUMNS
 from tests.conftest import values
 from verification import fixtures as fx
 
 TABLES = "/root/testdata/sf0.001"
+COMPARED = {"sales": SALES_COLUMNS, "logistics": LOGISTICS_COLUMNS}
 MONDAY, TUESDAY = datetime(2024, 1, 1), datetime(2024, 1, 2)
 
 
@@ -69,6 +70,30 @@ def test_gold_tables_equal_their_plans(spark, built):
         assert values(stored.select(*plan.columns)) == values(plan)
 
 
+def test_contract_columns_need_no_schema_merge(spark, built):
+    paths, steps = built
+    merged = {t: values(read_silver(spark, paths, t).select(*c)) for t, c in COMPARED.items()}
+    gates = run_silver(spark, paths, money="decimal(18,2)", merge_schema=False, as_of=MONDAY)
+    assert gates == steps["silver"]
+    for table, columns in COMPARED.items():
+        assert values(read_silver(spark, paths, table).select(*columns)) == merged[table]
+
+
+def test_added_bronze_columns_reach_silver(spark, folder, rows):
+    paths = LayerPaths(folder)
+    schema = ", ".join(f"{c} string" for c in SALES_COLUMNS) + ", _ingestion_timestamp timestamp"
+    old = ("O1", "2024-01-01", "C", "P", "K", "N", "$1.00", "1", "0%", "V", MONDAY)
+    append_table(rows(schema, old), paths.bronze("sales"))
+    append_table(rows(schema + ", channel string", ("O2", *old[1:], "web")), paths.bronze("sales"))
+    shipments = ", ".join(f"{c} string" for c in LOGISTICS_COLUMNS)
+    one = ("S1", "O1", "2024-01-01", None, "c", "a", "b", "1.0", "s")
+    append_table(rows(shipments, one), paths.bronze("logistics"))
+    run_silver(spark, paths)
+    assert values(read_silver(spark, paths, "sales").select("order_id", "channel")) == [
+        ("O1", None), ("O2", "web"),
+    ]
+
+
 def test_gold_runs_uncached_too(spark, built):
     paths, steps = built
     assert run_gold(spark, paths, cache_level=None) == steps["gold"]

@@ -11,6 +11,7 @@ from strata.sources import (
     SALES_CONTRACT,
     LayerPaths,
     conform,
+    delta,
     read_csv_contract,
     read_json_contract,
     scratch_dir,
@@ -145,6 +146,25 @@ def test_scratch_refuses_a_cluster_without_a_shared_folder():
         scratch_dir(Session(), "x")
 
 
+def test_delta_statements():
+    class Session:
+        def __init__(self):
+            self.seen = []
+
+        def sql(self, statement):
+            self.seen.append(statement)
+
+    session = Session()
+    delta.optimize(session, "/t")
+    delta.optimize(session, "/t", ["region", "order`year"])
+    delta.vacuum(session, "/t")
+    assert session.seen == [
+        "OPTIMIZE delta.`/t`",
+        "OPTIMIZE delta.`/t` ZORDER BY (`region`, `order``year`)",
+        "VACUUM delta.`/t` RETAIN 168 HOURS",
+    ]
+
+
 def test_no_python_workers_in_the_library():
     root = Path(__file__).resolve().parent.parent / "strata"
     source = "".join(p.read_text() for p in root.rglob("*.py"))

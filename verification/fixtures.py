@@ -151,8 +151,9 @@ def write_sales_csv(df: DataFrame, path: str) -> None:
 def write_logistics_json(df: DataFrame, path: str) -> None:
     """Raw logistics as files that each hold one JSON array over many lines.
 
-    Tasks stream their rows into the array, one file per task. The helper is
-    nested so that workers need not import this package.
+    Tasks stream their rows into the array, one file per task. A file is read
+    back by one task, so rows are first spread over the session's tasks. The
+    helper is nested so that workers need not import this package.
     """
 
     def array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,5 +171,5 @@ def write_logistics_json(df: DataFrame, path: str) -> None:
         *[F.col(c) for c in LOGISTICS_COLUMNS if c != "freight_cost"],
         F.col("freight_cost").cast("double").alias("freight_cost"),
     )
-    lines = rows.select(F.to_json(F.struct("*")).alias("value"))
+    lines = rows.repartition("shipment_id").select(F.to_json(F.struct("*")).alias("value"))
     lines.mapInArrow(array_lines, "value string").write.text(path)

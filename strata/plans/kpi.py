@@ -49,7 +49,11 @@ def sales_by_region(
     rank_spread: int | None = None,
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """Revenue, volume, rank and growth per region and month."""
+    """Revenue, volume, rank and growth per region and month.
+
+    Set ``rank_spread`` where regions are free text and a month may hold very
+    many of them.
+    """
     exact = is_exact(sales, "net_sales_amount")
     amount = F.col("sales_amount")
     per_customer = ratio(
@@ -71,11 +75,16 @@ def sales_by_region(
 
 
 def sales_by_category(
-    sales: DataFrame, *, one_row_per_order: bool = False, as_of: datetime | None = None
+    sales: DataFrame,
+    *,
+    one_row_per_order: bool = False,
+    share_spread: bool = False,
+    as_of: datetime | None = None,
 ) -> DataFrame:
     """Revenue, volume and revenue share per product category and quarter.
 
-    The share is taken of the rounded totals.
+    The share is taken of the rounded totals. Set ``share_spread`` where
+    categories are free text and a quarter may hold very many of them.
     """
     exact = is_exact(sales, "net_sales_amount")
     quarters = sales.groupBy(*QUARTER_GRAIN).agg(
@@ -84,7 +93,9 @@ def sales_by_category(
         _mean_discount(exact),
         *_volume(one_row_per_order),
     )
-    shared = share_of_total(quarters, "total_net_revenue", QUARTER, "revenue_share_pct")
+    shared = share_of_total(
+        quarters, "total_net_revenue", QUARTER, "revenue_share_pct", spread=share_spread
+    )
     return stamp_layer(shared, "gold", as_of)
 
 

@@ -146,6 +146,13 @@ def test_spread_rank_gives_the_same_table(clean):
     assert values(plain) == values(spread.select(*plain.columns))
 
 
+def test_spread_share_gives_the_same_table(clean):
+    sales, _ = clean
+    plain = sales_by_category(sales).drop("_gold_timestamp")
+    spread = sales_by_category(sales, share_spread=True).drop("_gold_timestamp")
+    assert values(plain) == values(spread.select(*plain.columns))
+
+
 def test_double_money_stays_within_a_cent_of_decimal_money(clean):
     sales, _ = clean
     double = sales.withColumns({c: F.col(c).cast("double") for c in ("sales_amount", "net_sales_amount", "discount")})

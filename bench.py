@@ -120,6 +120,11 @@ def drained(build: Callable[[], DataFrame]) -> Callable[[], None]:
     return lambda: build().write.format("noop").mode("overwrite").save()
 
 
+def scale_factor(sf_dir: str) -> float | str:
+    name = Path(sf_dir).name.removeprefix("sf")
+    return float(name) if name.replace(".", "", 1).isdigit() else name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(os.environ.get("BENCH_CPUS", "8"))
@@ -132,7 +137,7 @@ def main() -> None:
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
-        "sf": float(Path(sf_dir).name.removeprefix("sf")),
+        "sf": scale_factor(sf_dir),
     }
     print(json.dumps(report))
 

@@ -1,8 +1,9 @@
 """Aggregate expressions for ``groupBy(...).agg(...)``.
 
 All of them have partial (map-side) forms, so a hot group reaches the shuffle
-as one row per map task. ``exact`` picks decimal arithmetic with one division;
-without it the double formulas keep their usual order of operations.
+as one row per map task. ``exact`` is for decimals and counts: the result is
+the true quotient, rounded once. Without it the double formulas keep their
+usual order of operations.
 """
 
 from __future__ import annotations
@@ -25,24 +26,30 @@ def total(value: Column, scale: int = 2) -> Column:
 
 
 def mean(value: Column, scale: int, exact: bool = False) -> Column:
-    """Rounded average of the non-null values.
-
-    The exact form divides the full sum once; Spark's decimal ``avg`` would
-    first round to four more digits than the input.
-    """
+    """Rounded average of the non-null values."""
     if exact:
-        return F.round(F.try_divide(F.sum(value), F.count(value)), scale)
+        return ratio(F.sum(value), F.count(value), scale, exact=True)
     return F.round(F.avg(value), scale)
 
 
 def ratio(
     top: Column, bottom: Column, scale: int = 2, times: int = 1, exact: bool = False
 ) -> Column:
-    """``top / bottom * times``, rounded; null where ``bottom`` is zero."""
-    if exact:
-        return F.round(F.try_divide(top * F.lit(times), bottom), scale)
-    quotient = F.try_divide(top, bottom)
-    return F.round(quotient * F.lit(times) if times != 1 else quotient, scale)
+    """``top / bottom * times``, rounded half up; null where ``bottom`` is zero.
+
+    The exact form counts how often ``bottom`` fits. Decimal division would
+    round once to the digits left beside the operands' widths (six for large
+    sums) and again to ``scale``.
+    """
+    if not exact:
+        quotient = F.try_divide(top, bottom)
+        return F.round(quotient * F.lit(times) if times != 1 else quotient, scale)
+    unit = 10**scale
+    doubled = F.abs(bottom) * F.lit(2)
+    halves = F.abs(top) * F.lit(2 * times * unit) + F.abs(bottom)
+    fits = F.try_divide(halves - F.try_mod(halves, doubled), doubled).cast("decimal(38,0)")
+    signed = F.when((top < 0) != (bottom < 0), -fits).otherwise(fits)
+    return F.round(signed / F.lit(unit), scale)
 
 
 def rate_pct(flag: Column, base: Column, scale: int = 2, exact: bool = False) -> Column:

@@ -166,9 +166,6 @@ def executive_summary(
         sales, logistics, "order_id", _order_shipping(exact), broadcast=broadcast
     )
     freight, net = F.sum("total_freight_cost"), F.sum("net_sales_amount")
-    if exact:
-        # Keeps ten decimals in the quotient; the sums' full widths would leave six.
-        freight, net = freight.cast("decimal(26,2)"), net.cast("decimal(26,2)")
     months = orders.groupBy(*MONTH_GRAIN).agg(
         _net_revenue(),
         *_volume(one_row_per_order),

@@ -16,18 +16,18 @@ GIB = 1024 * MIB
 
 
 def sizing(input_bytes: int) -> dict[str, str]:
-    """Shuffle and scan settings for a job that reads ``input_bytes``.
+    """Scan, shuffle and file-size settings for a job that reads ``input_bytes``.
 
-    Small inputs keep Spark's defaults. Larger ones get bigger scan splits and
-    an initial shuffle width that keeps a reduce partition near 512 MiB; adaptive
-    execution then merges what turns out small and splits what turns out skewed.
+    Up to a tebibyte Spark's split and file sizes stay. Beyond, scan splits and
+    written files grow, so that task and file counts stay manageable. A reduce
+    partition gets up to a gibibyte of input (less once columns are pruned);
+    adaptive execution merges what turns out small and splits what is skewed.
     """
-    split = 128 * MIB if input_bytes < 1024 * GIB else 512 * MIB
-    width = max(200, -(-input_bytes // (512 * MIB)))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.shuffle.partitions": str(width),
-    }
+    settings = {"spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // GIB)))}
+    if input_bytes > 1024 * GIB:
+        settings["spark.sql.files.maxPartitionBytes"] = str(512 * MIB)
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(256 * MIB)
+    return settings
 
 
 def tune(spark: SparkSession) -> SparkSession:

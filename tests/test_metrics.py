@@ -1,3 +1,7 @@
+from decimal import Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from strata import functions as fn
@@ -18,6 +22,30 @@ def test_ratio_by_zero_is_null(rows):
     assert got == [None, None, 33.33, None]
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    pairs=st.lists(
+        st.tuples(st.integers(-(10**22), 10**22), st.integers(-(10**22), 10**22)),
+        min_size=1, max_size=20,
+    )
+)
+def test_exact_ratio_is_the_true_quotient_rounded_half_up(rows, pairs):
+    pairs += [(1, 8), (-1, 8), (5, 0), (0, 5), (0, -5), (1, -200), (4999999, 10**9), (1, 3)]
+    df = rows(
+        "x decimal(28,2), y decimal(28,2)",
+        *[(Decimal(x).scaleb(-2), Decimal(y).scaleb(-2)) for x, y in pairs],
+    )
+
+    def expected(x, y):
+        if y == 0:
+            return None
+        size = (2 * abs(x) * 10000 + abs(y)) // (2 * abs(y))
+        return Decimal(size if (x < 0) == (y < 0) else -size).scaleb(-2)
+
+    got = df.select(fn.ratio(F.col("x"), F.col("y"), 2, 100, exact=True)).collect()
+    assert [r[0] for r in got] == [expected(x, y) for x, y in pairs]
+
+
 def test_exact_mean_rounds_once(spark):
     """One cent too few over ten million rows: 0.00499999... must not reach 0.01."""
     cents = F.when(F.col("id") < 4_999_999, F.lit("0.01")).otherwise(F.lit("0.00"))

@@ -117,10 +117,10 @@ def test_session_factory_returns_the_running_session(spark):
     assert get_session("other", input_bytes=1) is spark
 
 
-def test_sizing_keeps_reduce_partitions_near_half_a_gibibyte():
-    assert sizing(10**9)["spark.sql.shuffle.partitions"] == "200"
+def test_sizing_grows_with_the_input():
+    assert sizing(10**9) == {"spark.sql.shuffle.partitions": "200"}
     large = sizing(100 * 10**12)
-    assert large["spark.sql.shuffle.partitions"] == "186265"
+    assert large["spark.sql.shuffle.partitions"] == "93133"
     assert large["spark.sql.files.maxPartitionBytes"] == str(512 * 1024 * 1024)
 
 

@@ -32,7 +32,8 @@ def rank_within(
     ``spread`` is a number of value ranges (``by`` must then be numeric). Equal
     values are first counted, the counts are ranked range by range, and each
     range is shifted by the size of the better ones. A task then holds about
-    one ``spread``-th of the distinct values. Runs one quantile aggregate.
+    one ``spread``-th of the distinct values. Runs one quantile aggregate, then
+    reads ``df`` twice more: store or cache an input that is costly to compute.
     """
 
     def best_first(column: str) -> Column:
@@ -105,7 +106,7 @@ def share_of_total(
     """Value as a percentage of its partition's sum; null when the sum is zero.
 
     ``spread`` sums the partitions with map-side aggregation and joins the sums
-    back, instead of buffering each partition in a window.
+    back, instead of buffering each partition in a window. It reads ``df`` twice.
     """
     exact = is_exact(df, value)
     if spread:

@@ -71,6 +71,14 @@ def test_category_share_uses_the_quarter(sales):
     assert got == [("F", "Q1", 33.33), ("F", "Q2", 100.0), ("G", "Q1", 66.67), ("Z", "Q3", None)]
 
 
+def test_share_and_growth_use_rounded_totals(sales):
+    df = sales(sale("1", category="F", net=0.126), sale("2", category="G", net=0.374))
+    shares = picked(sales_by_category(df), "product_category", "revenue_share_pct")
+    assert shares == [("F", 26.0), ("G", 74.0)]
+    df = sales(sale("1", net=0.126), sale("2", net=0.374, month=2))
+    assert picked(sales_by_region(df), "mom_growth_pct") == [(None,), (184.62,)]
+
+
 def test_carrier_rates_count_transit_as_late(rows):
     day = date(2024, 1, 1)
     df = rows(

@@ -220,7 +220,7 @@ def agg_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def agg_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rate = fn.rate_pct(F.col("delivered_on_time"), F.count("shipment_id"), exact=True)
-    return clean_logistics(spark, sf_dir).groupBy("carrier").agg(rate.alias("on_time_pct"))
+    return plain(clean_logistics(spark, sf_dir).groupBy("carrier").agg(rate.alias("on_time_pct")))
 
 
 def agg_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:

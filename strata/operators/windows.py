@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.metrics import is_exact, ratio
 from strata.operators.joins import attach
-from strata.operators.ranges import range_edges, range_id
+from strata.scratch import scratch_dir
 
 
 def rank_within(
@@ -29,11 +29,13 @@ def rank_within(
 ) -> DataFrame:
     """Rank of ``by`` inside each partition, with gaps after ties.
 
-    ``spread`` is a number of value ranges (``by`` must then be numeric). Equal
-    values are first counted, the counts are ranked range by range, and each
-    range is shifted by the size of the better ones. A task then holds about
-    one ``spread``-th of the distinct values. Runs one quantile aggregate, then
-    reads ``df`` twice more: store or cache an input that is costly to compute.
+    ``spread`` is a number of tasks. Equal values are first counted with
+    map-side combine, so a mass of ties is one row. The counts are sorted over
+    ``spread`` range partitions, ranked inside each of them, and shifted by the
+    size of the better ones; a hot partition then spans many tasks. The sorted
+    counts are stored in the scratch folder, because both the ranks and the
+    shifts need the same cut into ranges. The rank is then a long, as it may
+    exceed an int.
     """
 
     def best_first(column: str) -> Column:
@@ -44,24 +46,25 @@ def rank_within(
         window = Window.partitionBy(*partition).orderBy(best_first(by))
         return df.withColumn(name, F.rank().over(window))
 
-    edges = range_edges(df, {by: F.col(by)}, spread)[by]
-    slot = [*partition, "__slot"]
-    tallies = (
-        df.withColumn("__slot", range_id(F.col(by), edges))
-        .groupBy(*slot, by)
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-
-    def better(size: str, within: Sequence[str], order: str) -> Column:
-        window = Window.partitionBy(*within).orderBy(best_first(order))
-        ahead = window.rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(size).over(ahead), F.lit(0).cast("long"))
-
-    slots = tallies.groupBy(*slot).agg(F.sum("__n").alias("__size"))
-    shifts = slots.select(*slot, better("__size", partition, "__slot").alias("__shift"))
-    inside = tallies.withColumn("__inside", better("__n", slot, by))
+    spark = df.sparkSession
+    tallies = df.groupBy(*partition, by).agg(F.count(F.lit(1)).alias("__n"))
+    placed = tallies.repartitionByRange(spread, *partition, best_first(by))
+    chunked = placed.withColumn("__chunk", F.spark_partition_id())
+    stored = scratch_dir(spark, "rank")
+    chunked.write.parquet(stored)
+    tallies = spark.read.schema(chunked.schema).parquet(stored)
+
+    def ahead(size: str, within: Sequence[str], order: Column) -> Column:
+        window = Window.partitionBy(*within).orderBy(order)
+        before = window.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(size).over(before), F.lit(0).cast("long"))
+
+    chunk = [*partition, "__chunk"]
+    sizes = tallies.groupBy(*chunk).agg(F.sum("__n").alias("__size"))
+    shifts = sizes.select(*chunk, ahead("__size", partition, F.col("__chunk")).alias("__shift"))
+    inside = tallies.select(*chunk, by, ahead("__n", chunk, best_first(by)).alias("__inside"))
     place = F.col("__shift") + F.col("__inside") + F.lit(1)
-    ranks = attach(inside, shifts, slot).select(*partition, by, place.cast("int").alias(name))
+    ranks = attach(inside, shifts, chunk).select(*partition, by, place.alias(name))
     return attach(df, ranks, [*partition, by])
 
 

@@ -70,6 +70,9 @@ def sales_by_region(
     ranked = rank_within(
         months, "total_net_revenue", MONTH, "region_rank_by_revenue", spread=rank_spread
     )
+    if rank_spread is not None:
+        place = F.col("region_rank_by_revenue").cast("int")
+        ranked = ranked.withColumn("region_rank_by_revenue", place)
     grown = growth_pct(ranked, "total_net_revenue", ["region"], MONTH, "mom_growth_pct")
     return stamp_layer(grown, "gold", as_of)
 

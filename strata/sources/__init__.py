@@ -8,7 +8,7 @@ from strata.sources.contracts import (
 )
 from strata.sources.maintenance import compact, orphan_files, zorder
 from strata.sources.readers import read_csv_contract, read_json_contract, read_table
-from strata.sources.scratch import scratch_dir
+from strata.scratch import scratch_dir
 from strata.sources.writers import append_table, overwrite_table, skip_seen
 
 __all__ = [

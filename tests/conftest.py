@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from strata.session import tune  # noqa: E402
-from strata.sources.scratch import scratch_dir  # noqa: E402
+from strata.scratch import scratch_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")

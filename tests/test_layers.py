@@ -17,7 +17,7 @@ MONDAY, TUESDAY = datetime(2024, 1, 1), datetime(2024, 1, 2)
 
 @pytest.fixture(scope="module")
 def built(spark):
-    from strata.sources.scratch import scratch_dir
+    from strata.scratch import scratch_dir
 
     paths = LayerPaths(scratch_dir(spark, "layers-test"))
     fx.write_sales_csv(fx.sales_raw(spark, TABLES), paths.raw("sales"))

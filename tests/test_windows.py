@@ -47,6 +47,14 @@ def test_spread_rank_of_decimals(rows):
     )
 
 
+def test_spread_rank_of_text(rows):
+    data = [(f"g{i % 2}", f"v{i * 7 % 10}") for i in range(40)]
+    df = rows("g string, v string", *data)
+    assert values(rank_within(df, "v", ["g"], "r", spread=4)) == values(
+        rank_within(df, "v", ["g"], "r")
+    )
+
+
 GAPPED = (
     ("A", None, None, 5.0), ("A", 2024, 1, 10.0), ("A", 2024, 3, 15.0), ("A", 2024, 4, 0.0),
     ("A", 2024, 5, 9.0), ("B", 2023, 12, 4.0), ("B", 2024, 1, None), ("B", 2024, 2, 2.0),

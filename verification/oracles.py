@@ -277,8 +277,8 @@ def _windows() -> dict[str, str]:
             *monthly,
         ),
         "win_rank_spread": """SELECT l_orderkey, l_linestatus, l_extendedprice AS price,
-              CAST(rank() OVER (PARTITION BY l_linestatus ORDER BY l_extendedprice DESC NULLS LAST)
-                AS INTEGER) AS place FROM lineitem""",
+              rank() OVER (PARTITION BY l_linestatus ORDER BY l_extendedprice DESC NULLS LAST)
+                AS place FROM lineitem""",
         "win_mom_growth": with_ctes(
             f"SELECT {month}, {money('cents')} AS revenue, {growth('cents', 'growth_pct')} FROM monthly",
             *monthly,

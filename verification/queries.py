@@ -13,7 +13,7 @@ from strata import operators as op
 from strata.operators import quality
 from strata.plans import kpi, layers, refine
 from strata.sources import contracts, maintenance, readers, writers
-from strata.sources.scratch import scratch_dir
+from strata.scratch import scratch_dir
 from verification import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -6,8 +6,11 @@ is computed once and the counts describe what was written.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import partial
+from typing import TypeVar
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -33,6 +36,16 @@ GOLD_PARTITIONS = ("order_year",)
 _SOURCE_FILE = T.StructType([T.StructField("_source_file", T.StringType(), True)])
 
 
+Result = TypeVar("Result")
+
+
+def _together(jobs: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Submit independent writes at once, so one's last tasks overlap with the next one's first."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: job.result() for name, job in running.items()}
+
+
 def _rows() -> list[Column]:
     return [F.count(F.lit(1)).alias("rows")]
 
@@ -75,17 +88,16 @@ def run_bronze(
             spark, logistics_json, contracts.LOGISTICS_CONTRACT, multi_line=multi_line
         ),
     }
-    written = {}
-    for table, raw in inputs.items():
-        df = ingest(raw, as_of)
+
+    def append(table: str, raw: DataFrame) -> int:
+        df, path = ingest(raw, as_of), paths.bronze(table)
         if only_new_files:
-            df = _unseen(spark, df, paths.bronze(table), fmt)
+            df = _unseen(spark, df, path, fmt)
         seen = Observation()
-        append_table(
-            df, paths.bronze(table), fmt, partition_cols=BRONZE_PARTITIONS, watch=(seen, _rows())
-        )
-        written[table] = seen.get["rows"]
-    return written
+        append_table(df, path, fmt, partition_cols=BRONZE_PARTITIONS, watch=(seen, _rows()))
+        return seen.get["rows"]
+
+    return _together({table: partial(append, table, raw) for table, raw in inputs.items()})
 
 
 def _gated_overwrite(
@@ -144,19 +156,16 @@ def run_silver(
         tie_breakers=logistics_ties,
         as_of=as_of,
     )
-    return {
-        "sales": _gated_overwrite(
-            sales, paths.silver("sales"), fmt, SALES_PARTITIONS, refine.SALES_KEY, max_null_pct
-        ),
-        "logistics": _gated_overwrite(
-            logistics,
-            paths.silver("logistics"),
-            fmt,
-            LOGISTICS_PARTITIONS,
-            refine.LOGISTICS_KEY,
-            max_null_pct,
-        ),
+    plans = {
+        "sales": (sales, SALES_PARTITIONS, refine.SALES_KEY),
+        "logistics": (logistics, LOGISTICS_PARTITIONS, refine.LOGISTICS_KEY),
     }
+    return _together(
+        {
+            table: partial(_gated_overwrite, df, paths.silver(table), fmt, parts, key, max_null_pct)
+            for table, (df, parts, key) in plans.items()
+        }
+    )
 
 
 def read_silver(spark: SparkSession, paths: LayerPaths, table: str, fmt: str = "parquet") -> DataFrame:
@@ -172,7 +181,7 @@ def run_gold(
     paths: LayerPaths,
     *,
     fmt: str = "parquet",
-    cache_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    cache_level: StorageLevel | None = None,
     one_row_per_order: bool = True,
     as_of: datetime | None = None,
 ) -> dict[str, int]:
@@ -180,9 +189,9 @@ def run_gold(
 
     ``one_row_per_order`` holds for silver sales written by ``run_silver``.
 
-    Three of them read sales, so the columns they use are cached for the run.
-    Pass ``cache_level=None`` where the table is far larger than the cluster's
-    storage memory: column-pruned rescans of Parquet are cheaper than spilling.
+    Three of them read sales. By default each rescans the few columns it uses,
+    which holds at any table size; ``cache_level`` keeps those columns cached
+    for the run instead, where they fit the cluster's storage memory.
     """
     used = (
         "region", "product_category", "order_year", "order_month", "order_quarter",
@@ -190,18 +199,21 @@ def run_gold(
     )
     logistics = read_silver(spark, paths, "logistics", fmt)
     grain = {"one_row_per_order": one_row_per_order, "as_of": as_of}
-    written = {}
 
-    def save(table: str, df: DataFrame, partition_cols: Sequence[str] = GOLD_PARTITIONS) -> None:
+    def save(table: str, df: DataFrame, partition_cols: Sequence[str]) -> int:
         seen = Observation()
         overwrite_table(
             df, paths.gold(table), fmt, partition_cols=partition_cols, watch=(seen, _rows())
         )
-        written[table] = seen.get["rows"]
+        return seen.get["rows"]
 
     with cached(read_silver(spark, paths, "sales", fmt).select(*used), cache_level) as sales:
-        save("sales_by_region", kpi.sales_by_region(sales, **grain))
-        save("sales_by_category", kpi.sales_by_category(sales, **grain))
-        save("logistics_kpi", kpi.logistics_kpi(logistics, as_of=as_of), ())
-        save("executive_summary", kpi.executive_summary(sales, logistics, **grain))
-    return written
+        plans = {
+            "sales_by_region": (kpi.sales_by_region(sales, **grain), GOLD_PARTITIONS),
+            "sales_by_category": (kpi.sales_by_category(sales, **grain), GOLD_PARTITIONS),
+            "logistics_kpi": (kpi.logistics_kpi(logistics, as_of=as_of), ()),
+            "executive_summary": (kpi.executive_summary(sales, logistics, **grain), GOLD_PARTITIONS),
+        }
+        return _together(
+            {table: partial(save, table, df, parts) for table, (df, parts) in plans.items()}
+        )

@@ -163,7 +163,8 @@ def test_spread_share_gives_the_same_table(clean):
 
 def test_double_money_stays_within_a_cent_of_decimal_money(clean):
     sales, _ = clean
-    double = sales.withColumns({c: F.col(c).cast("double") for c in ("sales_amount", "net_sales_amount", "discount")})
+    money = ("sales_amount", "net_sales_amount", "discount")
+    double = sales.withColumns({c: F.col(c).cast("double") for c in money})
     key = ["region", "order_year", "order_month"]
     exact = {tuple(r[k] for k in key): r for r in sales_by_region(sales).collect()}
     for row in sales_by_region(double).collect():

@@ -2,6 +2,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark import StorageLevel
 
 from strata.plans import kpi, run_bronze, run_gold, run_silver
 from strata.plans.layers import read_silver
@@ -94,9 +95,9 @@ def test_added_bronze_columns_reach_silver(spark, folder, rows):
     ]
 
 
-def test_gold_runs_uncached_too(spark, built):
+def test_gold_runs_cached_too(spark, built):
     paths, steps = built
-    assert run_gold(spark, paths, cache_level=None) == steps["gold"]
+    assert run_gold(spark, paths, cache_level=StorageLevel.MEMORY_AND_DISK) == steps["gold"]
 
 
 def test_reruns_append_unless_only_new_files(spark, folder):

@@ -1,0 +1,301 @@
+"""HTML extraction (operator 1): site style trees.
+
+Pages of a host are merged into one tree. A node of it is a path of tags with their
+class and id; for each the tree counts the pages that have it and, over these, the
+distinct contents and the distinct child sequences. A node's importance is the
+entropy of these (presentation and content), scaled to 0..1 by the number of pages:
+navigation that is the same on every page has 0, prose of its own on each page 1.
+Branches below ``min_importance`` are removed from each page of the host.
+
+Two guards keep the tree from guessing where markup is plain: what the tags, roles or
+class names call menus, headers, footers, sidebars, notices, adverts, forms, scripts
+or comments is always removed; inside ``article`` or ``main`` nothing else is.
+A branch counts as shared only if it stands on at least ``min_pages`` pages and on
+``min_share`` of its host's, so a host has at most (nodes of a page) / ``min_share``
+such branches, however many pages it has.
+
+Pass one counts, with map-side combine on (host, node, content); no page leaves its
+task. Pass two reads the pages again next to their host's branches: a broadcast while
+these are measured to be few, a skew-tolerant join beyond.
+
+Defined cases: null or empty html gives an empty text; a page without url is of the
+host ""; markup may be unclosed or nested wrongly; repeated rows are extracted alike
+and count as pages; an empty table gives an empty result; other columns are not read.
+"""
+
+from __future__ import annotations
+
+import html as entities
+import re
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from strata.llm.common import map_rows, pieces, stored, word_hash
+
+
+@dataclass(frozen=True)
+class Settings:
+    min_importance: float = 0.3
+    min_pages: int = 5
+    min_share: float = 0.3
+    broadcast_bytes: int = 32 * 1024 * 1024
+
+
+#: Elements without content, those that start a block, those whose
+#: content is not text of the page, and those that are not part of an article.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+BLOCK = frozenset(
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table "
+    "tbody td tfoot th thead tr ul caption".split()
+)
+RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
+DROPPED = frozenset(
+    "script style head title template noscript iframe object svg math canvas audio video nav header footer aside form button select "
+    "input textarea label fieldset menu dialog search xmp noembed noframes".split()
+)
+DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
+#: Words of class names and ids that name what is no article.
+DROPPED_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted nav navbar navigation menu "
+    "menus breadcrumb breadcrumbs sidebar sidebars aside header masthead topbar footer bottom colophon cookie cookies consent gdpr notice "
+    "notices alert popup modal overlay newsletter subscribe subscription signup login register comment comments commentlist respond disqus "
+    "reply replies share sharing social related recommended recommendations widget widgets pagination pager skip search form copyright legal "
+    "disclaimer toc tags metadata byline".split()
+)
+#: Start tags that end an open element of the same group.
+ENDS = {
+    **{t: frozenset({t}) for t in ("li", "option", "tr", "thead", "tbody", "tfoot")},
+    **{t: frozenset({"dd", "dt"}) for t in ("dd", "dt")},
+    **{t: frozenset({"td", "th"}) for t in ("td", "th")},
+}
+#: What stops the search for an element to end.
+SCOPES = frozenset("table ul ol dl select html body article main section div td th".split())
+
+TAG = re.compile(
+    r"""<(?:!--(?:>|->|.*?(?:--!?>|\Z))|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|/?[a-zA-Z][^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>)""", re.S
+)
+PARTS = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)(.*)>", re.S)
+ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+NAME = re.compile(r"[a-zA-Z]+")
+SPACE = re.compile(r"[\s\x00]+")
+
+
+class Node:
+    """An open element: its tag, its node of the style tree, and what is known of it."""
+
+    __slots__ = ("tag", "path", "kept", "safe", "text", "children")
+
+    def __init__(self, tag: str, path: int, kept: bool, safe: bool):
+        self.tag, self.path, self.kept, self.safe = tag, path, kept, safe
+        self.text, self.children = 0, 0
+
+
+def _attributes(text: str) -> dict[str, str]:
+    out: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), entities.unescape(value.strip("\"'")))
+    return out
+
+
+def _is_noise(tag: str, found: dict[str, str]) -> bool:
+    if tag in DROPPED or found.get("role", "").lower() in DROPPED_ROLES:
+        return True
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
+        return True
+    if tag in ("html", "body", "article", "main"):
+        return False
+    for name in SPACE.split(f"{found.get('class', '')} {found.get('id', '')}"):
+        words = [w.lower() for w in NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name))]
+        if not DROPPED_NAMES.isdisjoint(words):
+            return True
+    return False
+
+
+class Tags(dict):
+    """What a piece of markup says: whether it ends, its tag, label, kind; remembered."""
+
+    def __missing__(self, markup: str) -> tuple:
+        if len(self) > 50_000:
+            self.clear()
+        found = PARTS.fullmatch(markup)
+        if not found:
+            value = (False, "", 0, False, False, False)
+        else:
+            tag, marks = found[2].lower(), _attributes(found[3])
+            label = word_hash(f"{tag} {marks.get('class', '')} {marks.get('id', '')}" if marks else tag)
+            main = tag in ("article", "main") or marks.get("role", "").lower() in ("main", "article")
+            value = (bool(found[1]), tag, label, main, _is_noise(tag, marks), found[3].endswith("/"))
+        self[markup] = value
+        return value
+
+
+TAGS = Tags()
+
+
+def walk(page: str | None, branches: frozenset[int] = frozenset(), texts: bool = True) -> tuple[list[str], dict[int, list[int]]]:
+    """Text blocks of a page, and for each undecided node its path, content and children.
+
+    ``branches`` are nodes of the style tree whose subtrees are left out; without
+    ``texts`` no blocks are made.
+    """
+    source = page or ""
+    blocks: list[str] = []
+    open_text: list[str] = []
+    nodes: dict[int, list[int]] = {}
+    stack = [Node("", 0, True, False)]
+
+    def flush() -> None:
+        if open_text:
+            text = " ".join(entities.unescape("".join(open_text)).split())
+            open_text.clear()
+            if text:
+                blocks.append(text)
+
+    def close() -> None:
+        node = stack.pop()
+        if node.tag in BLOCK:
+            flush()
+        parent = stack[-1]
+        parent.text = (parent.text * 31 + node.text) & 0x7FFFFFFFFFFFFFFF
+        parent.children = (parent.children * 31 + node.path) & 0x7FFFFFFFFFFFFFFF
+        if node.kept and not node.safe and node.tag in BLOCK:
+            seen = nodes.setdefault(node.path, [0, 0])
+            seen[0] = (seen[0] * 31 + node.text) & 0x7FFFFFFFFFFFFFFF
+            seen[1] = (seen[1] * 31 + node.children) & 0x7FFFFFFFFFFFFFFF
+
+    def say(text: str) -> None:
+        node = stack[-1]
+        if text and node.kept:
+            if texts:
+                open_text.append(text)
+            if not node.safe and not text.isspace():
+                node.text = (node.text * 31 + (word_hash(text) >> 1)) & 0x7FFFFFFFFFFFFFFF
+
+    at, size = 0, len(source)
+    while at < size:
+        found = TAG.search(source, at)
+        if not found:
+            say(source[at:])
+            break
+        say(source[at : found.start()])
+        at = found.end()
+        ends_here, tag, label, main, noise, empty = TAGS[found[0]]
+        if not tag:
+            continue
+        if ends_here:
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag == tag:
+                    while len(stack) > depth:
+                        close()
+                    break
+                if stack[depth].tag in SCOPES and tag not in SCOPES:
+                    break
+            continue
+        if tag == "br" or tag == "wbr":
+            say(" " if tag == "br" else "")
+            continue
+        if tag in BLOCK:
+            ends = ENDS.get(tag, frozenset()) | {"p"}
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].tag in ends:
+                    while len(stack) > depth:
+                        close()
+                    break
+                if stack[depth].tag in SCOPES:
+                    break
+            flush()
+        if tag in VOID:
+            continue
+        if tag == "head" and any(n.tag == "body" for n in stack):
+            continue
+        if tag in ("body", "article", "main") and stack[-1].tag != "" and any(n.tag == "head" for n in stack):
+            while any(n.tag == "head" for n in stack):  # a head that was never closed
+                close()
+        parent = stack[-1]
+        path = (parent.path * 1000003 ^ label) & 0x7FFFFFFFFFFFFFFF
+        safe = parent.safe or main
+        kept = parent.kept and not noise and (safe or path not in branches)
+        stack.append(Node(tag, path, kept, safe))
+        if tag in RAW and not empty:
+            end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
+            say(source[at : end.start()] if end else source[at:])
+            at = end.start() if end else size
+    while len(stack) > 1:
+        close()
+    flush()
+    return blocks, nodes
+
+
+def extract(page: str | None, branches: frozenset[int] = frozenset()) -> str:
+    return "\n".join(walk(page, branches)[0])
+
+
+def _host(url: str | None) -> str:
+    found = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
+    return found[1].lower() if found else ""
+
+
+def style_nodes(pages: DataFrame) -> DataFrame:
+    """``host, path, content, children, n``: how many of a task's pages show a node so."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            counts: dict[tuple[str, int, int, int], int] = {}
+            for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                host = _host(url)
+                counts[host, 0, 0, 0] = counts.get((host, 0, 0, 0), 0) + 1
+                for path, (content, children) in walk(page, texts=False)[1].items():
+                    key = host, path, content, children
+                    counts[key] = counts.get(key, 0) + 1
+            keys = list(zip(*counts, strict=True))
+            yield pa.record_batch(
+                [pa.array(keys[0], pa.string()), *(pa.array(k, pa.int64()) for k in keys[1:]), pa.array(list(counts.values()), pa.int64())],
+                ["host", "path", "content", "children", "n"],
+            )
+
+    return pages.select("url", "html").mapInArrow(run, "host string, path long, content long, children long, n long")
+
+
+def site_branches(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """``host, branches``: nodes of each host's style tree that are of low importance.
+
+    Importance is ``1 - (1 - C) * (1 - P)``: C and P are the entropies of contents and
+    of child sequences over the pages with the node, divided by the log of their number.
+    """
+    seen = style_nodes(pages).groupBy("host", "path", "content", "children").agg(F.sum("n").alias("n"))
+    by_content = seen.groupBy("host", "path", "content").agg(F.sum("n").alias("n"))
+    by_children = seen.groupBy("host", "path", "children").agg(F.sum("n").alias("n"))
+
+    def entropy(df: DataFrame, name: str) -> DataFrame:
+        total, spread = F.sum("n"), F.sum(F.col("n") * F.log2("n"))
+        return df.groupBy("host", "path").agg(total.alias("pages"), (1 - spread / (total * F.log2(total))).alias(name))
+
+    nodes = entropy(by_content, "c").join(entropy(by_children, "p").drop("pages"), ["host", "path"])
+    sites = nodes.where("path = 0").select("host", F.col("pages").alias("site"))
+    shared = nodes.where(F.col("path") != 0).where(F.col("pages") >= s.min_pages).join(sites, "host")
+    low = shared.where((F.col("pages") >= s.min_share * F.col("site")) & (1 - (1 - F.col("c")) * (1 - F.col("p")) < s.min_importance))
+    return low.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("branches"))
+
+
+def main_text(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """``page_id, url, text, n_chars`` of every page."""
+    spark = pages.sparkSession
+    branches = stored(spark, site_branches(pages, s), "branches")
+    size = branches.agg(F.sum(F.size("branches") * 8 + F.length("host") + 64)).first()[0] or 0
+    side = F.broadcast(branches) if size <= s.broadcast_bytes else branches
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[a-zA-Z][\w+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    joined = pages.select(F.col("page_id").cast("long"), "url", "html", host.alias("host")).join(side, "host", "left")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        html, low = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+        texts = [extract(page, frozenset(paths or ())) for page, paths in zip(html, low, strict=True)]
+        sizes = pa.array(np.fromiter(map(len, texts), np.int64, len(texts)))
+        return pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
+
+    return map_rows(joined.select("page_id", "url", "html", "branches"), run, "page_id long, url string, text string, n_chars long")

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, fertility, html, quality, toxicity
+from strata.llm import chat, fertility, quality, sites, toxicity
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.main_text(table(spark, sf_dir, "pages"))
+    return sites.main_text(table(spark, sf_dir, "pages"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

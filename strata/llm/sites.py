@@ -89,10 +89,11 @@ SPACE = re.compile(r"[\s\x00]+")
 class Node:
     """An open element: its tag, its node of the style tree, and what is known of it."""
 
-    __slots__ = ("tag", "path", "kept", "safe", "text", "children")
+    __slots__ = ("tag", "path", "kept", "safe", "holds", "text", "children")
 
     def __init__(self, tag: str, path: int, kept: bool, safe: bool):
         self.tag, self.path, self.kept, self.safe = tag, path, kept, safe
+        self.holds = safe or tag in ("html", "body")  # itself or something in it is always kept
         self.text, self.children = 0, 0
 
 
@@ -164,7 +165,9 @@ def walk(page: str | None, branches: frozenset[int] = frozenset(), texts: bool =
         parent = stack[-1]
         parent.text = (parent.text * 31 + node.text) & 0x7FFFFFFFFFFFFFFF
         parent.children = (parent.children * 31 + node.path) & 0x7FFFFFFFFFFFFFFF
-        if node.kept and not node.safe and node.tag in BLOCK:
+        if node.holds and node.kept:
+            parent.holds = True
+        elif node.kept and node.tag in BLOCK:
             seen = nodes.setdefault(node.path, [0, 0])
             seen[0] = (seen[0] * 31 + node.text) & 0x7FFFFFFFFFFFFFFF
             seen[1] = (seen[1] * 31 + node.children) & 0x7FFFFFFFFFFFFFFF

@@ -58,11 +58,11 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hash(word: str) -> int:
+def word_hash(word: str | bytes) -> int:
     """64 bits of a word, the same in every process."""
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    return xxhash.xxh3_64_intdigest(word)
 
 
 class WordHashes(dict):
@@ -70,13 +70,13 @@ class WordHashes(dict):
 
     LIMIT = 500_000
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str | bytes) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
         value = self[word] = word_hash(word)
         return value
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def of(self, words: list) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 

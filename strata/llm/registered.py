@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, fertility, quality, sites, toxicity
+from strata.llm import chat, decontam, fertility, pieces, quality, sites, toxicity
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,18 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.main_text(table(spark, sf_dir, "pages"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,4 +48,4 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_html, op3_toxicity, op7_quality, op8_chat, op10_fertility)}
+    return {f.__name__: f for f in (op1_html, op2_sentencepiece, op3_toxicity, op6_decontamination, op7_quality, op8_chat, op10_fertility)}

@@ -22,7 +22,6 @@ from __future__ import annotations
 import heapq
 import re
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -237,16 +236,18 @@ class Encoder:
         starts, owner = relax(edges, sizes)
         stops = np.append(starts[1:], len(text))
         found = edges.pieces(starts, stops)
-        ids = np.where(found >= 0, self.model.ids[found], -1).tolist()
-        at = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
-        self.known.update((w, ids[a:b]) for w, a, b in zip(words, at, at[1:], strict=False))
+        ids = np.where(found >= 0, self.model.ids[found], -1).astype(np.int32)
+        at = np.searchsorted(owner, np.arange(len(words) + 1))
+        packed, cuts = ids.tobytes(), (at * 4).tolist()
+        self.known.update(zip(words, map(packed.__getitem__, map(slice, cuts, cuts[1:])), strict=True))
         for i in np.unique(owner[found < 0]).tolist():  # words with characters that become bytes
             own = []
             for k in range(at[i], at[i + 1]):
                 own += [ids[k]] if ids[k] >= 0 else self.model.bytes_at[list(_plain(text[starts[k] : stops[k]]))].tolist()
-            self.known[words[i]] = own
+            self.known[words[i]] = np.array(own, np.int32).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[list[int] | None]:
+    def packed(self, texts: list[str | None]) -> list[bytes | None]:
+        """The ids of each text as 32-bit numbers in a row."""
         if len(self.known) > self.LIMIT:
             self.known.clear()
         # A mark of the text itself gets a stand-in that no piece contains.
@@ -255,7 +256,17 @@ class Encoder:
         if new:
             self.learn(new)
         known = self.known
-        return [None if row is None else list(chain.from_iterable(map(known.__getitem__, row))) for row in units]
+        return [None if row is None else b"".join(map(known.__getitem__, row)) for row in units]
+
+    def encode(self, texts: list[str | None]) -> list[list[int] | None]:
+        return [None if x is None else np.frombuffer(x, np.int32).tolist() for x in self.packed(texts)]
+
+    def column(self, texts: list[str | None]) -> pa.Array:
+        rows = self.packed(texts)
+        sizes = np.array([len(x or b"") // 4 for x in rows], np.int32)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        values = pa.array(np.frombuffer(b"".join(x or b"" for x in rows), np.int32))
+        return pa.ListArray.from_arrays(offsets, values, mask=pa.array([x is None for x in rows]))
 
 
 #: Stands for a word mark of the text: not a character, so no text or piece has it.
@@ -280,8 +291,8 @@ def encode_column(documents: DataFrame, into: str = "ids", text: str = "text", m
     encoder, at = Encoder(model or read_model()), documents.columns.index(text)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = encoder.encode(batch.column(at).to_pylist())
-        return pa.record_batch([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, into])
+        ids = encoder.column(batch.column(at).to_pylist())
+        return pa.record_batch([*batch.columns, ids], [*batch.schema.names, into])
 
     return map_rows(documents, run, StructType([*documents.schema, StructField(into, ArrayType(IntegerType()))]))
 

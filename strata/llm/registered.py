@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, decontam, fertility, pieces, quality, sites, toxicity
+from strata.llm import chat, decontam, fertility, lines, minhash, pieces, quality, sites, toxicity
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(words=3, percent=85))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,9 +47,18 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.chat(rows.unionByName(extra)))
 
 
+def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(documents, removed="n_removed")
+
+
 def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_html, op2_sentencepiece, op3_toxicity, op6_decontamination, op7_quality, op8_chat, op10_fertility)}
+    return {f.__name__: f for f in (op1_html, op2_sentencepiece, op3_toxicity, op5_near_duplicates, op6_decontamination, op7_quality, op8_chat, op9_lines, op10_fertility)}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"op9_lines": lines.ORACLE_SQL}

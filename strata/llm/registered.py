@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, decontam, fertility, lines, minhash, pieces, quality, sites, toxicity
+from strata.llm import chat, decontam, fertility, lines, minhash, pieces, quality, repeats, sites, toxicity
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(words=3, percent=85))
 
@@ -57,7 +61,11 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_html, op2_sentencepiece, op3_toxicity, op5_near_duplicates, op6_decontamination, op7_quality, op8_chat, op9_lines, op10_fertility)}
+    every = (
+        op1_html, op2_sentencepiece, op3_toxicity, op4_suffixes, op5_near_duplicates,
+        op6_decontamination, op7_quality, op8_chat, op9_lines, op10_fertility,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -40,9 +40,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and the text they decode to."""
-    model = pieces.read_model()
-    both = pieces.decode_column(pieces.encode_column(docs, model=model), model=model)
-    return both.withColumn("n_tokens", F.when(F.col("ids").isNotNull(), F.size("ids")).otherwise(0))
+    return pieces.encode_and_decode(docs).withColumn("n_tokens", F.when(F.col("ids").isNotNull(), F.size("ids")).otherwise(0))
 
 
 STAGES = [

@@ -224,7 +224,8 @@ def relax(edges: Edges, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Encoder:
     """Ids of words, remembered up to a bound; new ones are matched a batch at a time."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
+    AT_ONCE = 30_000  # words in one suffix array
 
     def __init__(self, model: Model):
         self.model, self.known = model, {}
@@ -253,8 +254,8 @@ class Encoder:
         # A mark of the text itself gets a stand-in that no piece contains.
         units = [None if t is None else UNIT.findall(MARK + t.replace(MARK, STAND_IN).replace(" ", MARK)) if t else [] for t in texts]
         new = list(set().union(*(row for row in units if row)).difference(self.known))
-        if new:
-            self.learn(new)
+        for at in range(0, len(new), self.AT_ONCE):
+            self.learn(new[at : at + self.AT_ONCE])
         known = self.known
         return [None if row is None else b"".join(map(known.__getitem__, row)) for row in units]
 
@@ -308,10 +309,22 @@ def decode_column(encoded: DataFrame, into: str = "decoded", ids: str = "ids", m
     return map_rows(encoded, run, StructType([*encoded.schema, StructField(into, StringType())]))
 
 
+def encode_and_decode(documents: DataFrame, model: Model | None = None) -> DataFrame:
+    """All columns of ``documents``, then ``ids`` of its text and ``decoded``, in one pass."""
+    model = model or read_model()
+    encoder, at = Encoder(model), documents.columns.index("text")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = encoder.column(batch.column(at).to_pylist())
+        texts = decode(ids.to_pylist(), model)
+        return pa.record_batch([*batch.columns, ids, pa.array(texts, pa.string())], [*batch.schema.names, "ids", "decoded"])
+
+    fields = [StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]
+    return map_rows(documents, run, StructType([*documents.schema, *fields]))
+
+
 def round_trip(documents: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """``doc_id, n_tokens, ids, same``: the ids of each text, and whether they decode to it."""
-    model = read_model(model_path)
-    columns = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    both = decode_column(encode_column(columns, model=model), model=model)
-    tokens: Column = F.coalesce(F.size("ids"), F.lit(0)).cast("long")
-    return both.select("doc_id", F.when(F.col("ids").isNull(), 0).otherwise(tokens).alias("n_tokens"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("same"))
+    both = encode_and_decode(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), read_model(model_path))
+    tokens: Column = F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long")
+    return both.select("doc_id", tokens.alias("n_tokens"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("same"))

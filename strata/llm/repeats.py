@@ -46,7 +46,7 @@ class Settings:
     length: int = 50
     seed: int = 16
     shard_bytes: int = 12_000_000
-    block_bytes: int = 8_000_000
+    block_bytes: int = 4_000_000
     broadcast_bytes: int = 32 * 1024 * 1024
 
     @property

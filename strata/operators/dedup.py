@@ -28,12 +28,12 @@ def dedup_latest(
     """
     if tie_breakers is None:
         used = {*keys, newest}
-        tie_breakers = [F.col(c).asc_nulls_first() for c in df.columns if c not in used]
-    order = [] if newest is None else [F.col(newest).desc_nulls_last()]
+        tie_breakers = [F.col(f"`{c}`").asc_nulls_first() for c in df.columns if c not in used]
+    order = [] if newest is None else [F.col(f"`{newest}`").desc_nulls_last()]
     order += list(tie_breakers)
     if not order:
         return df.dropDuplicates(list(keys))
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    position = F.row_number().over(Window.partitionBy(*(f"`{k}`" for k in keys)).orderBy(*order))
     return df.withColumn(_POSITION, position).filter(F.col(_POSITION) == 1).drop(_POSITION)
 
 
@@ -42,7 +42,7 @@ def dedup_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Counts per key are combined before the shuffle; null keys are one key.
     """
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies"))
+    per_key = df.groupBy(*(f"`{k}`" for k in keys)).agg(F.count(F.lit(1)).alias("__copies"))
     rows = F.coalesce(F.sum("__copies"), F.lit(0).cast("long"))
     return per_key.agg(rows.alias("rows"), F.count(F.lit(1)).alias("distinct_keys")).select(
         "rows", "distinct_keys", (F.col("rows") - F.col("distinct_keys")).alias("removed")

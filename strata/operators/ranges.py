@@ -7,48 +7,21 @@ so a recomputed task puts every row where it was before.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TEXT_BYTES = 7  # what fits a positive long
-
-
-def _utf8(text: Column) -> Column:
-    return F.encode(text, "UTF-8")
-
-
-def _text_code(text: Column, skip: int) -> Column:
-    digits = F.hex(F.substring(_utf8(text), skip + 1, _TEXT_BYTES))
-    return F.conv(F.rpad(digits, 2 * _TEXT_BYTES, "0"), 16, 10).try_cast("long")
-
+from strata.scratch import scratch_dir
 
 def order_codes(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
-    """Number per column that sorts like the column; null stays null.
-
-    Text is coded by the seven bytes behind the prefix that all its values
-    share. Runs one min/max aggregate when a text column is present.
-    """
+    """Value per column that sorts like the column; null stays null. Text is its own code."""
     types = {c: df.schema[c].dataType for c in columns}
-    text = [c for c in columns if isinstance(types[c], T.StringType)]
-    shared: dict[str, int] = {}
-    if text:
-        bounds = df.agg(
-            *[F.min(c).alias(f"lo{i}") for i, c in enumerate(text)],
-            *[F.max(c).alias(f"hi{i}") for i, c in enumerate(text)],
-        ).first()
-        for i, c in enumerate(text):
-            ends = [(bounds[f"{end}{i}"] or "").encode() for end in ("lo", "hi")]
-            shared[c] = len(os.path.commonprefix(ends))
     codes = {}
     for c in columns:
         value, kind = F.col(c), types[c]
-        if c in shared:
-            codes[c] = _text_code(value, shared[c])
-        elif isinstance(kind, T.DateType):
+        if isinstance(kind, T.DateType):
             codes[c] = F.unix_date(value)
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             codes[c] = F.unix_micros(value.cast("timestamp"))
@@ -59,18 +32,40 @@ def order_codes(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
     return codes
 
 
+def text_edges(df: DataFrame, text: Column, ranges: int) -> list[str]:
+    """Values at which the running share of rows, in text order, crosses ``i / ranges``.
+
+    Whole texts are counted, sorted over many tasks and summed by task; only the
+    edges reach the driver. Runs jobs, over a scratch table of the distinct texts.
+    """
+    spark = df.sparkSession
+    counts = df.select(text.alias("v")).where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_dir(spark, "texts")
+    counts.repartitionByRange("v").select("v", "n", F.spark_partition_id().alias("p")).write.parquet(path)
+    sorted_ = spark.read.schema("v string, n long, p int").parquet(path)
+    totals = sorted_.groupBy("p").agg(F.sum("n").alias("own"))
+    upto = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = totals.select("p", (F.sum("own").over(upto) - F.col("own")).alias("before"))
+    total = totals.agg(F.sum("own")).first()[0] or 0
+    inside = Window.partitionBy("p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.col("before") + F.sum("n").over(inside)
+    steps = sorted_.join(offsets, "p").select("v", (last - F.col("n")).alias("low"), last.alias("high"))
+    crossed = F.floor(F.col("low") * ranges / total) < F.floor(F.col("high") * ranges / total)
+    edges = steps.where(crossed & (F.col("low") > 0)).select("v")
+    return sorted(row[0] for row in edges.collect()) if total else []
+
+
 def range_edges(
     df: DataFrame, codes: Mapping[str, Column], ranges: int
 ) -> dict[str, list[object]]:
-    """Up to ``ranges - 1`` distinct quantile edges per code. Runs one aggregate."""
+    """Up to ``ranges`` distinct quantile edges per code; one aggregate, and jobs per text column."""
     points = [i / ranges for i in range(1, ranges)]
-    found = df.agg(
-        *[
-            F.percentile_approx(code, points, 20 * ranges).alias(f"q{i}")
-            for i, code in enumerate(codes.values())
-        ]
-    ).first()
-    return {c: sorted(set(found[f"q{i}"] or [])) for i, c in enumerate(codes)}
+    text = {c for c in codes if isinstance(df.select(codes[c]).schema[0].dataType, T.StringType)}
+    numbers = [c for c in codes if c not in text]
+    quantiles = [F.percentile_approx(codes[c], points, 20 * ranges).alias(f"q{i}") for i, c in enumerate(numbers)]
+    found = df.agg(*quantiles).first() if quantiles else ()
+    edges = {c: sorted(set(found[i] or [])) for i, c in enumerate(numbers)}
+    return {c: text_edges(df, codes[c], ranges)[: ranges - 1] if c in text else edges[c] for c in codes}
 
 
 def range_id(code: Column, edges: Sequence[object]) -> Column:

@@ -15,12 +15,12 @@ from strata.functions import clean
 
 def require_not_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Keep rows in which every one of ``columns`` is present."""
-    return df.filter(reduce(and_, [F.col(c).isNotNull() for c in columns]))
+    return df.filter(reduce(and_, [F.col(f"`{c}`").isNotNull() for c in columns]))
 
 
 def normalize_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Trim and upper-case ``columns`` in one projection."""
-    return df.withColumns({c: clean.normalize(F.col(c)) for c in columns})
+    return df.withColumns({c: clean.normalize(F.col(f"`{c}`")) for c in columns})
 
 
 def fill_defaults(

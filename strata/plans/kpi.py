@@ -156,7 +156,6 @@ def executive_summary(
     logistics: DataFrame,
     *,
     one_row_per_order: bool = False,
-    broadcast: bool = False,
     as_of: datetime | None = None,
 ) -> DataFrame:
     """Sales and delivery figures per region and month.
@@ -166,7 +165,7 @@ def executive_summary(
     """
     exact = is_exact(sales, "net_sales_amount")
     orders = preaggregate_then_left_join(
-        sales, logistics, "order_id", _order_shipping(exact), broadcast=broadcast
+        sales, logistics, "order_id", _order_shipping(exact)
     )
     freight, net = F.sum("total_freight_cost"), F.sum("net_sales_amount")
     months = orders.groupBy(*MONTH_GRAIN).agg(

@@ -58,8 +58,10 @@ def ingest(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
 def _unseen(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> DataFrame:
     try:
         stored = read_table(spark, path, fmt, schema=_SOURCE_FILE)
-    except AnalysisException:  # first run: no table yet
-        return df
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return df  # first run: no table yet
     return skip_seen(df, stored)
 
 
@@ -126,7 +128,7 @@ def run_silver(
     merge_schema: bool = True,
     max_null_pct: float = MAX_NULL_PCT,
     sales_ties: Sequence[Column | str] | None = None,
-    logistics_newest: str | None = None,
+    logistics_newest: str | None = refine.INGESTED,
     logistics_ties: Sequence[Column | str] | None = None,
     as_of: datetime | None = None,
 ) -> dict[str, dict[str, object]]:

@@ -28,6 +28,7 @@ EXACT_MONEY = "decimal(18,2)"
 EXACT_PERCENT = "decimal(9,4)"
 
 # Keys, required columns, text columns and null defaults.
+INGESTED = "_ingestion_timestamp"
 SALES_KEY = "order_id"
 SALES_REQUIRED = ("order_id", "sales_amount", "order_date")
 SALES_TEXT = ("region", "product_category", "customer_id", "salesperson_id")
@@ -68,9 +69,15 @@ def latest_sales(raw: DataFrame, tie_breakers: Sequence[Column | str] | None = N
 
 
 def latest_logistics(
-    raw: DataFrame, newest: str | None = None, tie_breakers: Sequence[Column | str] | None = None
+    raw: DataFrame, newest: str | None = INGESTED, tie_breakers: Sequence[Column | str] | None = None
 ) -> DataFrame:
-    """One copy per shipment, chosen the same way on every run."""
+    """Newest copy per shipment, so that a later ingestion's update wins.
+
+    Among copies of one ingestion, and in raw input without ingestion times, the
+    tie-breakers choose, the same way on every run.
+    """
+    if newest == INGESTED and newest not in raw.columns:
+        newest = None
     return dedup_latest(raw, [LOGISTICS_KEY], newest, tie_breakers)
 
 
@@ -103,7 +110,7 @@ def refine_logistics(
     raw: DataFrame,
     *,
     money: str = "double",
-    newest: str | None = None,
+    newest: str | None = INGESTED,
     tie_breakers: Sequence[Column | str] | None = None,
     max_days: int = clean.SLA_MAX_DAYS,
     as_of: datetime | None = None,
@@ -124,10 +131,13 @@ def refine_logistics(
 
 
 def rejected_sales(
-    raw: DataFrame, tie_breakers: Sequence[Column | str] | None = None
+    raw: DataFrame, tie_breakers: Sequence[Column | str] | None = None, *, money: str = "double"
 ) -> DataFrame:
-    """Newest copies that ``refine_sales`` drops, or keeps with a blanked amount or date."""
-    readable = _sales_types("double")
+    """Newest copies that ``refine_sales`` drops, or keeps with a blanked amount or date.
+
+    ``money`` is the type the refined table gives amounts; what that cannot hold is listed.
+    """
+    readable = _sales_types(money)
     return rejected(
         latest_sales(raw, tie_breakers),
         SALES_REQUIRED,
@@ -136,11 +146,15 @@ def rejected_sales(
 
 
 def rejected_logistics(
-    raw: DataFrame, newest: str | None = None, tie_breakers: Sequence[Column | str] | None = None
+    raw: DataFrame,
+    newest: str | None = INGESTED,
+    tie_breakers: Sequence[Column | str] | None = None,
+    *,
+    money: str = "double",
 ) -> DataFrame:
     """Copies that ``refine_logistics`` drops, or keeps with a blanked date or cost."""
     return rejected(
         latest_logistics(raw, newest, tie_breakers),
         LOGISTICS_REQUIRED,
-        _logistics_types("double"),
+        _logistics_types(money),
     )

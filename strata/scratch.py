@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -13,12 +14,13 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder path for one run, in the shared folder the session names.
 
-    Only a local-mode session that names none falls back to this machine's
-    temporary folder; a cluster without a shared folder is an error.
+    The folder is the setting's, or the one given to ``setCheckpointDir``. Only a
+    local-mode session that names none falls back to this machine's temporary
+    folder; a cluster without a shared folder is an error.
     """
-    base = spark.conf.get(CHECKPOINT_SETTING, None)
+    base = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{label}-{uuid4().hex}"

@@ -18,16 +18,16 @@ GIB = 1024 * MIB
 def sizing(input_bytes: int) -> dict[str, str]:
     """Scan, shuffle and file-size settings for a job that reads ``input_bytes``.
 
-    Up to a tebibyte Spark's split and file sizes stay. Beyond, scan splits and
-    written files grow, so that task and file counts stay manageable. A reduce
-    partition gets up to a gibibyte of input (less once columns are pruned);
+    Splits and files grow with the input between Spark's defaults and four times
+    these, so that task and file counts stay manageable. A reduce partition gets up to a gibibyte of input (less once columns are pruned);
     adaptive execution merges what turns out small and splits what is skewed.
     """
-    settings = {"spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // GIB)))}
-    if input_bytes > 1024 * GIB:
-        settings["spark.sql.files.maxPartitionBytes"] = str(512 * MIB)
-        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(256 * MIB)
-    return settings
+    grown = min(4 * MIB, max(MIB, input_bytes // (1024 * 1024)))
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // GIB))),
+        "spark.sql.files.maxPartitionBytes": str(128 * grown),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * grown),
+    }
 
 
 def tune(spark: SparkSession) -> SparkSession:

@@ -63,11 +63,14 @@ def bronze_schema(contract: T.StructType) -> T.StructType:
 
 
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """Exactly the contract's columns: cast, in order, missing ones as null."""
-    present = set(df.columns)
+    """Exactly the contract's columns: cast, in order, missing ones as null.
+
+    Names match whatever their letter case, as they do in Spark.
+    """
+    present = {c.lower(): c for c in df.columns}
     return df.select(
         *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType))
+            (F.col(f"`{present[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in present else F.lit(None).cast(f.dataType))
             .alias(f.name)
             for f in contract.fields
         ]

@@ -48,10 +48,27 @@ def planned_files(
 
 
 def _addressed(df: DataFrame) -> DataFrame:
-    address = (F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    address = (F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index"))
     return df.select("*", *[c.alias(name) for c, name in zip(address, _ADDRESS, strict=True)])
 
 
+def stored_partitions(spark: SparkSession, root: str, glob: str = "*.parquet") -> list[str]:
+    """Names of the partition columns in the table's folders, outermost first."""
+    first = data_files(spark, root, glob).select("path").first()
+    inside = first["path"].split(root.rstrip("/").rpartition("/")[2] + "/", 1)[-1] if first else ""
+    return [folder.partition("=")[0] for folder in inside.split("/")[:-1] if "=" in folder]
+
+
+def _kept(
+    spark: SparkSession, src: str, partition_cols: Sequence[str] | None, text_partitions: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """The table and its new partition columns; values of those it keeps stay as stored."""
+    stored = stored_partitions(spark, src)
+    cols = stored if partition_cols is None else list(partition_cols)
+    text = [c for c in stored if c in cols or c in text_partitions]
+    return read_table(spark, src, text_partitions=text), cols
+
+
 def _write(df: DataFrame, dst: str, partition_cols: Sequence[str]) -> None:
     writer = df.write.format("parquet").mode("errorifexists")
     if partition_cols:
@@ -66,24 +83,26 @@ def compact(
     *,
     target_files: int | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
-    partition_cols: Sequence[str] = (),
+    partition_cols: Sequence[str] | None = None,
     text_partitions: Sequence[str] = (),
 ) -> None:
     """Rewrite a Parquet table into few even files, keeping every row.
 
+    The table's own partitioning stays, its values as stored (``007`` is not 7),
+    unless ``partition_cols`` says otherwise; ``()`` drops it.
     Without partition columns the scan's splits are merged without a shuffle.
     With them rows are range-partitioned by partition value and row address:
     neighbours share a task, a large value spans several, and the stored row
     order inside a value is kept.
     """
     files = target_files or planned_files(spark, src, target_bytes)
-    df = read_table(spark, src, text_partitions=text_partitions)
-    if partition_cols:
-        placed = _addressed(df).repartitionByRange(files, *partition_cols, *_ADDRESS)
-        df = placed.sortWithinPartitions(*partition_cols, *_ADDRESS).drop(*_ADDRESS)
+    df, cols = _kept(spark, src, partition_cols, text_partitions)
+    if cols:
+        placed = _addressed(df).repartitionByRange(files, *cols, *_ADDRESS)
+        df = placed.sortWithinPartitions(*cols, *_ADDRESS).drop(*_ADDRESS)
     else:
         df = df.coalesce(files)
-    _write(df, dst, partition_cols)
+    _write(df, dst, cols)
 
 
 def interleave(ids: Sequence[Column], bits: int) -> Column:
@@ -125,21 +144,23 @@ def zorder(
     target_files: int | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
     bits: int = 5,
-    partition_cols: Sequence[str] = (),
+    partition_cols: Sequence[str] | None = None,
     text_partitions: Sequence[str] = (),
 ) -> None:
     """Rewrite a Parquet table clustered by ``columns``, keeping every row.
 
+    Partitioning is kept as in ``compact``. ``bits`` times the number of columns is
+    62 at most.
     Rows that are close in all columns share files, so min/max statistics skip
     files and row groups for filters on any of them. The row address behind the
     Z-value splits a cell that is larger than a file.
     """
     files = target_files or planned_files(spark, src, target_bytes)
-    df = read_table(spark, src, text_partitions=text_partitions)
+    df, cols = _kept(spark, src, partition_cols, text_partitions)
     keyed = with_z_value(_addressed(df), columns, "__z", bits)
-    placed = keyed.repartitionByRange(files, *partition_cols, "__z", *_ADDRESS)
-    ordered = placed.sortWithinPartitions(*partition_cols, "__z")
-    _write(ordered.drop("__z", *_ADDRESS), dst, partition_cols)
+    placed = keyed.repartitionByRange(files, *cols, "__z", *_ADDRESS)
+    ordered = placed.sortWithinPartitions(*cols, "__z")
+    _write(ordered.drop("__z", *_ADDRESS), dst, cols)
 
 
 def orphan_files(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.ranges import order_codes, range_edges, range_id
-from strata.sources import append_table, compact, orphan_files, read_table, zorder
+from strata.sources import append_table, compact, maintenance, orphan_files, read_table, zorder
 from strata.sources.maintenance import data_files, interleave, planned_files, with_z_value
 
 
@@ -137,3 +137,22 @@ def test_orphans_are_old_files_the_table_does_not_read(spark, folder):
     manifest = data_files(spark, f"{folder}/v1").select("path")
     others = orphan_files(spark, folder, manifest, 0, as_of=later).collect()
     assert others and all("/v2/" in r.path for r in others)
+
+
+def test_rewrites_keep_partition_values_and_layout(spark, folder):
+    rows = spark.range(40).selectExpr("id", "lpad(id % 3, 3, '0') AS p", "concat('k', id) AS k")
+    rows.write.partitionBy("p").parquet(f"{folder}/src")
+    maintenance.compact(spark, f"{folder}/src", f"{folder}/compact")
+    maintenance.zorder(spark, f"{folder}/src", f"{folder}/z", ["k"])
+    for name in ("compact", "z"):
+        assert maintenance.stored_partitions(spark, f"{folder}/{name}") == ["p"]
+        paths = maintenance.data_files(spark, f"{folder}/{name}").select("path").collect()
+        assert {r.path.split("/")[-2] for r in paths} == {"p=000", "p=001", "p=002"}
+
+
+def test_one_odd_text_does_not_merge_the_ranges(spark):
+    ids = spark.range(4000).selectExpr("printf('ORD-%09d', id) AS k")
+    odd = ids.union(spark.sql("SELECT 'n/a'"))
+    for df in (ids, odd):
+        ranges = maintenance.with_z_value(df, ["k"], bits=5).groupBy("__z").count().collect()
+        assert len(ranges) == 32 and max(r["count"] for r in ranges) < 200

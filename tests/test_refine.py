@@ -131,3 +131,12 @@ def test_duplicate_shipments_do_not_depend_on_partitioning(rows):
         for n in (1, 3, 7)
     }
     assert costs == {0.0}
+
+
+def test_a_later_ingestion_of_a_shipment_wins(rows):
+    first = rows(SHIPMENTS, shipment()).withColumns(
+        {"delivery_date": F.lit(None).cast("string"), "_ingestion_timestamp": F.lit("2024-01-01").cast("timestamp")}
+    )
+    second = rows(SHIPMENTS, shipment()).withColumn("_ingestion_timestamp", F.lit("2024-01-02").cast("timestamp"))
+    for both in (first.unionByName(second), second.unionByName(first)):
+        assert refine_logistics(both).first().delivery_date is not None

@@ -4,7 +4,7 @@ Pages of a host are merged into one tree. A node of it is a path of tags with th
 class and id; for each the tree counts the pages that have it and, over these, the
 distinct contents and the distinct child sequences. A node's importance is the
 entropy of these (presentation and content), scaled to 0..1 by the number of pages:
-navigation that is the same on every page has 0, prose of its own on each page 1.
+navigation that is the same on every page has 0, prose of its own on each page 1; so has a node of a single page.
 Branches below ``min_importance`` are removed from each page of the host.
 
 Two guards keep the tree from guessing where markup is plain: what the tags, roles or
@@ -271,13 +271,14 @@ def site_branches(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
     Importance is ``1 - (1 - C) * (1 - P)``: C and P are the entropies of contents and
     of child sequences over the pages with the node, divided by the log of their number.
     """
-    seen = style_nodes(pages).groupBy("host", "path", "content", "children").agg(F.sum("n").alias("n"))
+    counted = style_nodes(pages).groupBy("host", "path", "content", "children").agg(F.sum("n").alias("n"))
+    seen = stored(pages.sparkSession, counted, "nodes")
     by_content = seen.groupBy("host", "path", "content").agg(F.sum("n").alias("n"))
     by_children = seen.groupBy("host", "path", "children").agg(F.sum("n").alias("n"))
 
     def entropy(df: DataFrame, name: str) -> DataFrame:
         total, spread = F.sum("n"), F.sum(F.col("n") * F.log2("n"))
-        return df.groupBy("host", "path").agg(total.alias("pages"), (1 - spread / (total * F.log2(total))).alias(name))
+        return df.groupBy("host", "path").agg(total.alias("pages"), F.coalesce(1 - F.try_divide(spread, total * F.log2(total)), F.lit(1.0)).alias(name))
 
     nodes = entropy(by_content, "c").join(entropy(by_children, "p").drop("pages"), ["host", "path"])
     sites = nodes.where("path = 0").select("host", F.col("pages").alias("site"))

@@ -40,7 +40,7 @@ class Settings:
     steps: int = 120
     averaged: int = 30
     rate: float = 0.1
-    sparsity: float = 3e-4
+    sparsity: float = 7e-3  # over the root of the number of positive examples
     min_examples: int = 3
 
 
@@ -124,6 +124,7 @@ def train(
     p, u, size = _Rows(positive, kept), _Rows(unlabelled, kept), len(kept)
     w = np.zeros(size)
     mean_w, mean_bias = np.zeros(size), 0.0
+    threshold = s.sparsity / np.sqrt(len(positive))
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     for step in range(1, s.steps + 1):
         at_p, at_u = _sigmoid(p.times(w) + bias), _sigmoid(u.times(w) + bias)
@@ -140,7 +141,7 @@ def train(
         fix, fix2 = 1 - 0.9**step, 1 - 0.999**step
         scale = s.rate / (np.sqrt(v / fix2) + 1e-5)
         w = w - scale * m / fix
-        w = np.sign(w) * np.maximum(np.abs(w) - scale * s.sparsity, 0)
+        w = np.sign(w) * np.maximum(np.abs(w) - scale * threshold, 0)
         bias -= s.rate * (mb / fix) / (np.sqrt(vb / fix2) + 1e-5)
         if step > s.steps - s.averaged:
             mean_w, mean_bias = mean_w + w / s.averaged, mean_bias + bias / s.averaged

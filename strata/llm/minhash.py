@@ -165,17 +165,21 @@ def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame
     to_centre = measured.select("a", F.col("b").alias("id"), away.alias("away"))
     placed = open_.join(to_centre, ["a", "id"], "left").join(nodes.select("id", "n", "sig"), "id")
     placed = stored(spark, placed.select("band", "key", "id", "label", "n", "sig", F.coalesce("away", F.lit(0.0)).alias("away")), "open")
-    p, q = placed.alias("p"), placed.alias("q")
+    # Members of a bucket's largest group need no look at each other: the others are one side.
+    shares = placed.groupBy("band", "key", "label").agg(F.count("*").alias("size"))
+    largest = shares.groupBy("band", "key").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
+    sided = placed.where("away > 0").join(largest, ["band", "key"])  # centres have been compared with all
+    p, q = sided.where("label != main").alias("p"), sided.alias("q")
     reach = (100 - s.percent) / 100 + 1e-9
     possible = (
-        (F.col("p.band") == F.col("q.band")) & (F.col("p.key") == F.col("q.key")) & (F.col("p.id") < F.col("q.id"))
+        (F.col("p.band") == F.col("q.band")) & (F.col("p.key") == F.col("q.key"))
         & (F.col("p.label") != F.col("q.label"))
         & (F.abs(F.col("p.away") - F.col("q.away")) <= reach)
-        & (F.col("p.away") > 0)  # the centre has been compared with all
         & (100 * F.least("p.n", "q.n") >= s.percent * F.greatest("p.n", "q.n"))
+        & ((F.col("q.label") == F.col("q.main")) | (F.col("p.id") < F.col("q.id")))
         & (_agreeing(F.col("p.sig"), F.col("q.sig"), s.slots) * 100 >= s.slots * (s.percent - 25))
     )
-    rest = stored(spark, p.join(q, possible).select(F.col("p.id").alias("a"), F.col("q.id").alias("b")).distinct(), "rest")
+    rest = stored(spark, p.join(q, possible).select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")).distinct(), "rest")
     if rest.limit(1).count():
         more = _measured(rest, documents, s)
         late = more.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"), s.percent)).select("a", "b")

@@ -3,11 +3,14 @@
 Each document's set of word shingles gets a SuperMinHash signature: an element puts
 one of its ranks ``r + j`` into each slot, in the order of a permutation of its own,
 and the scan over ``j`` stops once no slot can change. Equal sets are one node from
-here on. Bands of the signature make buckets. In each bucket the smallest node is
-compared with all others on the full sets; links are grouped by union-find. Pairs of
-one bucket that are still in different groups are compared as well, unless their
-measured distances to the bucket's smallest node or their sizes or signatures
-exclude a link, so that no link through other members is lost.
+here on. Bands of the signature make buckets. In each bucket the node that shares
+buckets with most others is the centre, and all others are compared with it on the
+full sets; links are grouped by union-find. Pairs of one bucket that are still in
+different groups are compared as well, so that no link through other members is lost,
+unless one of these excludes a link: the sizes, the measured distances to the bucket's
+centre, a lower bound of the symmetric difference (a bit per element, added by xor),
+or the signatures. Of two groups the closest such pair comes first; the rest of their
+pairs follow only where that one did not link them.
 
 With 32 bands of 4 slots a pair at similarity 0.85 shares no bucket with probability
 6e-11 (at 0.8: 5e-8).
@@ -40,7 +43,7 @@ class Settings:
     words: int = 5
     percent: int = 80
     slots: int = 128
-    rows: int = 4
+    rows: int = 4  # at most 4, a band key has 64 bits
     broadcast_bytes: int = 32 * 1024 * 1024
 
 
@@ -68,21 +71,30 @@ def signature(elements: np.ndarray, slots: int, block: int = 32768) -> np.ndarra
 
 
 def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
-    return grams_of_rows(sig.view(np.uint64).reshape(-1, rows))
+    """16 bits of each slot; the slots of a band side by side are its key."""
+    short = (mix(sig.view(np.uint64)) >> np.uint64(48)).astype("<u2").reshape(-1, rows)
+    lanes = np.zeros((len(short), 4), "<u2")
+    lanes[:, :rows] = short
+    return lanes.view("<i8").ravel()
 
 
-def grams_of_rows(values: np.ndarray) -> np.ndarray:
-    out = np.arange(len(values), dtype=np.uint64)
-    for column in values.T:
-        out = mix(out ^ column)
-    return out
+#: Bits of the xor of a set's elements, in longs.
+LONGS = 16
+BITS = [f"x{i}" for i in range(LONGS)]
+
+
+def parity_bits(elements: np.ndarray) -> np.ndarray:
+    """Which of the bits an odd number of elements falls on."""
+    at = (mix(elements) >> np.uint64(64 - 10)).astype(np.int64)
+    odd = (np.bincount(at, minlength=64 * LONGS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8")
 
 
-SKETCH = "doc_id long, n long, h1 long, h2 long, bands array<long>, sig binary"
+SKETCH = "doc_id long, n long, h1 long, h2 long, bands array<long>, " + ", ".join(f"{x} long" for x in BITS)
 
 
 def sketches(documents: DataFrame, s: Settings) -> DataFrame:
-    """Set size, a 128-bit name of the set, band keys and a short signature of every row."""
+    """Set size, a 128-bit name of the set, band keys (with them a short signature) and bits of every row."""
     hashes = WordHashes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -90,15 +102,14 @@ def sketches(documents: DataFrame, s: Settings) -> DataFrame:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found = shingles(text, s.words, hashes)
             if not len(found):
-                rows.append((doc_id, 0, 0, 0, None, None))
+                rows.append((doc_id, 0, 0, 0, None, *[0] * LONGS))
                 continue
             sig = signature(found, s.slots)
             name = [int(mix(found ^ np.uint64(k)).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2)]
-            short = (mix(sig.view(np.uint64)) >> np.uint64(48)).astype(np.uint16).tobytes()
-            rows.append((doc_id, len(found), *name, band_keys(sig, s.rows).view(np.int64), short))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+            rows.append((doc_id, len(found), *name, band_keys(sig, s.rows), *parity_bits(found).tolist()))
+        kinds = (*[pa.int64()] * 4, pa.list_(pa.int64()), *[pa.int64()] * LONGS)
         columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        return pa.record_batch(columns, ["doc_id", "n", "h1", "h2", "bands", "sig"])
+        return pa.record_batch(columns, ["doc_id", "n", "h1", "h2", "bands", *BITS])
 
     return map_rows(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")), run, SKETCH)
 
@@ -133,12 +144,28 @@ def _measured(pairs: DataFrame, documents: DataFrame, s: Settings) -> DataFrame:
     )
 
 
-def _agreeing(a: Column, b: Column, slots: int) -> Column:
+def _agreeing(a: Column, b: Column, rows: int) -> Column:
     """How many slots of two short signatures agree."""
-    def part(sig: Column, i: Column) -> Column:
-        return F.substring(sig, i * 2 + 1, F.lit(2))
 
-    return F.size(F.filter(F.sequence(F.lit(0), F.lit(slots - 1)), lambda i: part(a, i) == part(b, i)))
+    def equal(x: Column, y: Column) -> Column:
+        lanes = [F.when(x.bitwiseXOR(y).bitwiseAND(F.lit(0xFFFF << 16 * k if k < 3 else -(1 << 48))) == 0, 1).otherwise(0) for k in range(rows)]
+        return sum(lanes[1:], lanes[0])
+
+    return F.aggregate(F.zip_with(a, b, equal), F.lit(0), lambda total, n: total + n)
+
+
+def _apart(p: str, q: str) -> Column:
+    """At least so many elements are in one of two sets only."""
+    each = [F.bit_count(F.col(f"{p}.{x}").bitwiseXOR(F.col(f"{q}.{x}"))) for x in BITS]
+    return sum(each[1:], each[0])
+
+
+def _relabelled(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``pairs`` whose sides are still in different groups."""
+    for side in ("a", "b"):
+        named = groups.select(F.col("node").alias(f"low_{side}"), F.col("component").alias(f"new_{side}"))
+        pairs = pairs.join(named, f"low_{side}", "left")
+    return pairs.where(F.coalesce("new_a", "low_a") != F.coalesce("new_b", "low_b")).select("a", "b")
 
 
 def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -146,11 +173,14 @@ def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame
     spark = documents.sparkSession
     rows = stored(spark, sketches(documents, s), "sketches")
     full = rows.where(F.col("bands").isNotNull() & F.col("doc_id").isNotNull())
-    nodes = full.groupBy("h1", "h2", "n").agg(F.min_by(F.struct("bands", "sig"), "doc_id").alias("s"), F.min("doc_id").alias("id"))
-    nodes = stored(spark, nodes.select("id", "n", "h1", "h2", "s.bands", "s.sig"), "nodes")
+    nodes = full.groupBy("h1", "h2", "n").agg(F.min_by(F.struct("bands", *BITS), "doc_id").alias("s"), F.min("doc_id").alias("id"))
+    nodes = stored(spark, nodes.select("id", "n", "h1", "h2", "s.*"), "nodes")
     slots = nodes.select("id", F.posexplode("bands").alias("band", "key"))
-    centres = slots.groupBy("band", "key").agg(F.min("id").alias("a"), F.count("*").alias("members")).where("members > 1")
-    members = stored(spark, slots.join(centres.drop("members"), ["band", "key"]), "members")
+    shared = slots.groupBy("band", "key").agg(F.count("*").alias("members")).where("members > 1")
+    met = stored(spark, slots.join(shared, ["band", "key"]), "met")
+    central = met.join(met.groupBy("id").agg(F.sum("members").alias("company")), "id")
+    centres = central.groupBy("band", "key").agg(F.max_by("id", F.struct("company", -F.col("id"))).alias("a"))
+    members = stored(spark, met.drop("members").join(centres, ["band", "key"]), "members")
     stars = members.where("id != a").select("a", F.col("id").alias("b")).distinct()
     measured = stored(spark, _measured(stars, documents, s), "measured")
     linked = measured.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"), s.percent)).select("a", "b")
@@ -163,27 +193,41 @@ def near_duplicates(documents: DataFrame, s: Settings = Settings()) -> DataFrame
     open_ = labelled.join(spread.where("low != high").select("band", "key"), ["band", "key"])
     away = 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))
     to_centre = measured.select("a", F.col("b").alias("id"), away.alias("away"))
-    placed = open_.join(to_centre, ["a", "id"], "left").join(nodes.select("id", "n", "sig"), "id")
-    placed = stored(spark, placed.select("band", "key", "id", "label", "n", "sig", F.coalesce("away", F.lit(0.0)).alias("away")), "open")
+    placed = open_.join(to_centre, ["a", "id"], "left").join(nodes.select("id", "n", "bands", *BITS), "id")
+    placed = stored(spark, placed.select("band", "key", "id", "label", "n", "bands", *BITS, F.coalesce("away", F.lit(0.0)).alias("away")), "open")
     # Members of a bucket's largest group need no look at each other: the others are one side.
     shares = placed.groupBy("band", "key", "label").agg(F.count("*").alias("size"))
     largest = shares.groupBy("band", "key").agg(F.max_by("label", F.struct("size", "label")).alias("main"))
     sided = placed.where("away > 0").join(largest, ["band", "key"])  # centres have been compared with all
     p, q = sided.where("label != main").alias("p"), sided.alias("q")
     reach = (100 - s.percent) / 100 + 1e-9
+    first_equal = F.zip_with("p.bands", "q.bands", lambda x, y: x == y)
     possible = (
         (F.col("p.band") == F.col("q.band")) & (F.col("p.key") == F.col("q.key"))
         & (F.col("p.label") != F.col("q.label"))
         & (F.abs(F.col("p.away") - F.col("q.away")) <= reach)
         & (100 * F.least("p.n", "q.n") >= s.percent * F.greatest("p.n", "q.n"))
+        & ((100 + s.percent) * _apart("p", "q") <= (100 - s.percent) * (F.col("p.n") + F.col("q.n")))
         & ((F.col("q.label") == F.col("q.main")) | (F.col("p.id") < F.col("q.id")))
-        & (_agreeing(F.col("p.sig"), F.col("q.sig"), s.slots) * 100 >= s.slots * (s.percent - 25))
+        & (_agreeing(F.col("p.bands"), F.col("q.bands"), s.rows) * 100 >= s.slots * (s.percent - 25))
+        & (F.array_position(first_equal, True) == F.col("p.band") + 1)  # each pair in one bucket
+    )
+    sides = F.col("p.id") < F.col("q.id")
+    rest = p.join(q, possible).select(
+        F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b"),
+        F.when(sides, F.col("p.label")).otherwise(F.col("q.label")).alias("low_a"),
+        F.when(sides, F.col("q.label")).otherwise(F.col("p.label")).alias("low_b"),
+        (_apart("p", "q") / (F.col("p.n") + F.col("q.n"))).alias("apart"),
     )
-    rest = stored(spark, p.join(q, possible).select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b")).distinct(), "rest")
+    rest = stored(spark, rest.distinct(), "rest")
     if rest.limit(1).count():
-        more = _measured(rest, documents, s)
-        late = more.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"), s.percent)).select("a", "b")
-        groups = components(linked.union(late))
+        between = [F.least("low_a", "low_b").alias("g"), F.greatest("low_a", "low_b").alias("h")]
+        closest = rest.groupBy(*between).agg(F.min_by(F.struct("a", "b"), F.struct("apart", "a", "b")).alias("pair")).select("pair.*")
+        for pairs in (lambda: closest, lambda: stored(spark, _relabelled(rest, groups), "still")):
+            more = _measured(pairs(), documents, s)
+            late = more.where(_similar(F.col("n_a"), F.col("n_b"), F.col("both"), s.percent)).select("a", "b")
+            linked = linked.union(stored(spark, late, "late"))
+            groups = components(linked)
 
     named = nodes.join(groups.withColumnRenamed("node", "id"), "id", "left").select("h1", "h2", "n", label.alias("component"))
     found = rows.join(named, ["h1", "h2", "n"], "left")

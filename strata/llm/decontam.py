@@ -1,27 +1,34 @@
 """Benchmark decontamination (operator 6): rare n-gram seeds, Smith-Waterman scores.
 
-The n-grams of all test items are counted over the whole corpus; the rarer half of
-each item's n-grams (and at least ``min_seeds``) are its seeds. A document that holds
-a seed is a candidate for the item. Around its seeds the words are aligned with the
-item's words (local alignment, linear gaps), which finds copied passages as well as
-edited ones: the score is the alignment's share of what an exact copy would get.
+An alignment that reaches ``min_score`` can have so many edits and no more, so it must
+keep a least number ``t`` of the item's n-grams (``needed``). The n-grams of all test
+items are counted over the whole corpus; the seeds of an item are all of them but the
+``t - 1`` most common, so that one seed at least stands in every such document. A
+document with a seed and ``t`` n-grams of the item within the longest passage an
+alignment can cover is aligned there with the item's words (local alignment, linear
+gaps): the score is the alignment's share of what an exact copy would get. The hits are
+those of aligning every item with every document.
+
+An item's n-grams have the most words, ``n`` at most, that leave ``t`` at one or more: at
+the default scores two words, and one in items of five words or fewer.
 
 Two passes over the documents, no shuffle of texts. The test items are the query
 set: they are taken in blocks of ``block_items`` items and ``block_bytes`` of text,
 so that what a task holds is bounded; every block meets every document.
 
 Words are lower-cased; what is not a letter or digit separates them. Defined cases:
-null and empty texts match nothing; an item without words matches nothing, one with
-fewer words than ``n`` has itself as its only n-gram; repeated items are items of
+null and empty texts match nothing; an item without words matches nothing, one of
+a single word is found where it stands; repeated items are items of
 their own unless id and text agree; repeated documents are scored alike; null ids
 stay null; other columns are not read by the scores and are kept by the filter.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +43,6 @@ TERM = re.compile(rb"[a-z0-9\x80-\xff]+")
 @dataclass(frozen=True)
 class Settings:
     n: int = 3
-    min_seeds: int = 8
     min_score: float = 0.6
     match: int = 2
     mismatch: int = -1
@@ -86,26 +92,55 @@ def align(item: np.ndarray, passage: np.ndarray, s: Settings) -> tuple[int, int,
     return best
 
 
+def reach(size: int, s: Settings) -> int:
+    """The most words that an alignment of ``min_score`` with an item of ``size`` words covers."""
+    return size + int(size * s.match * (1 - s.min_score) / -max(s.mismatch, s.gap) + 1e-9)
+
+
+def needed(size: int, n: int, s: Settings) -> int:
+    """The least number of an item's n-grams that an alignment of ``min_score`` keeps.
+
+    ``k`` matches and ``e`` edits leave at most ``e + 1`` runs of matches, and so at least
+    ``k - (n - 1) * (e + 1)`` whole n-grams; the score bounds ``e`` by ``k``. This is linear
+    in ``k``, so it is least at one of its ends.
+    """
+    cost, ends = -max(s.mismatch, s.gap), (size * s.min_score, size)
+    kept = (k - (n - 1) * (s.match * (k - ends[0]) / cost + 1) for k in ends)
+    return math.ceil(min(kept) - 1e-9)
+
+
 @dataclass(frozen=True)
 class Items:
-    """A block of test items: ids, words, and the places of their n-grams, sorted."""
+    """A block of test items: ids, words, n-grams, and by n-gram the items it is a seed of."""
 
     ids: list[int | None]
     words: list[np.ndarray]
+    sizes: list[int]  # words of the n-grams in use
+    least: np.ndarray  # how many n-grams of each item a document must hold
     codes: np.ndarray  # distinct n-grams
     gram: np.ndarray  # for each item and n-gram of it: which of the codes
-    owner: np.ndarray  # and whose
-    place: np.ndarray  # and where in the item
+    ends: np.ndarray  # of each item's n-grams in gram
+    first: np.ndarray  # of each code's items in owner
+    owner: np.ndarray  # the items that have the code as a seed
 
 
-def index_items(rows: list[tuple[int | None, str | None]], n: int) -> Items:
+def index_items(rows: list[tuple[int | None, str | None]], s: Settings) -> Items:
+    """The items with all of their n-grams and no seeds yet."""
     hashes = WordHashes()
     words = [terms((text or "").encode(), hashes) for _, text in rows]
-    found = [grams(w, n) for w in words]
-    owner = np.repeat(np.arange(len(rows)), [len(g) for g in found])
-    place = np.concatenate([*(np.arange(len(g)) for g in found), np.empty(0, np.int64)]).astype(np.int64)
+    sizes = [next((n for n in range(s.n, 1, -1) if needed(len(w), n, s) > 0), 1) for w in words]
+    least = np.array([max(1, needed(len(w), n, s)) for w, n in zip(words, sizes, strict=True)], np.int64)
+    found = [grams(w, n) for w, n in zip(words, sizes, strict=True)]
     codes, gram = np.unique(np.concatenate([*found, np.empty(0, np.uint64)]), return_inverse=True)
-    return Items([i for i, _ in rows], words, codes, gram.astype(np.int64), owner, place)
+    ends = np.cumsum([0, *map(len, found)])
+    none = np.empty(0, np.int64)
+    return Items([i for i, _ in rows], words, sorted(set(sizes)), least, codes, gram.astype(np.int64), ends, none, none)
+
+
+def all_grams(words: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all n-grams of a text that the items may have, and their places."""
+    found = [grams(words, n) for n in items.sizes]
+    return np.concatenate([*found, np.empty(0, np.uint64)]), np.concatenate([*(np.arange(len(g)) for g in found), np.empty(0, np.int64)])
 
 
 def lookup(codes: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +152,7 @@ def lookup(codes: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return places, at[places]
 
 
-def frequencies(documents: DataFrame, items: Items, s: Settings) -> np.ndarray:
+def frequencies(documents: DataFrame, items: Items) -> np.ndarray:
     """In how many documents each of the items' n-grams stands."""
     codes = items.codes
 
@@ -125,7 +160,7 @@ def frequencies(documents: DataFrame, items: Items, s: Settings) -> np.ndarray:
         hashes, counts = WordHashes(), np.zeros(len(codes), np.int64)
         for batch in pieces(batches):
             for text in batch.column(0).to_pylist():
-                counts[np.unique(lookup(codes, grams(terms(text, hashes), s.n))[1])] += 1
+                counts[np.unique(lookup(codes, all_grams(terms(text, hashes), items)[0])[1])] += 1
         seen = np.flatnonzero(counts)
         if len(seen):
             yield pa.record_batch([pa.array(seen), pa.array(counts[seen])], ["gram", "n"])
@@ -137,35 +172,54 @@ def frequencies(documents: DataFrame, items: Items, s: Settings) -> np.ndarray:
     return out
 
 
-def seeds(items: Items, counts: np.ndarray, s: Settings) -> Items:
-    """The same items with the rarer half of each one's n-grams only."""
-    order = np.lexsort((items.codes[items.gram], counts[items.gram], items.owner))
-    sizes = np.bincount(items.owner, minlength=len(items.ids))
-    rank = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    least = np.maximum((sizes + 1) // 2, s.min_seeds)
-    kept = order[rank < np.repeat(least, sizes)]
-    used, gram = np.unique(items.gram[kept], return_inverse=True)
-    by_gram = np.argsort(gram, kind="stable")
-    return Items(items.ids, items.words, items.codes[used], gram[by_gram], items.owner[kept][by_gram], items.place[kept][by_gram])
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``starts, starts + 1 ...`` of all ranges, one range after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def seeds(items: Items, counts: np.ndarray) -> Items:
+    """The same items with the seeds of each: all n-grams but the ``least - 1`` most common."""
+    sizes = np.diff(items.ends)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((items.gram, counts[items.gram], owner))
+    rank = ranges(np.zeros(len(sizes), np.int64), sizes)
+    kept = order[rank < np.repeat(sizes - items.least + 1, sizes)]
+    pairs = np.unique(np.stack([items.gram[kept], owner[kept]]), axis=1)
+    return replace(items, first=np.searchsorted(pairs[0], np.arange(len(items.codes) + 1)), owner=pairs[1])
+
+
+def candidates(codes: np.ndarray, items: Items) -> np.ndarray:
+    """Items with a seed and with enough n-grams among the distinct ``codes``."""
+    first = items.first[codes]
+    found = np.unique(items.owner[ranges(first, items.first[codes + 1] - first)])
+    if not len(found):
+        return found
+    present = np.zeros(len(items.codes), bool)
+    present[codes] = True
+    sizes = items.ends[found + 1] - items.ends[found]
+    held = np.add.reduceat(present[items.gram[ranges(items.ends[found], sizes)]], np.cumsum(sizes) - sizes, dtype=np.int64)
+    return found[held >= items.least[found]]
 
 
 def matches(words: np.ndarray, items: Items, s: Settings) -> list[tuple[int, float, int, int]]:
     """Item, score, first and last word of the best alignment of each item found."""
-    places, codes = lookup(items.codes, grams(words, s.n))
-    if not len(places):
+    found, at = all_grams(words, items)
+    where, codes = lookup(items.codes, found)
+    if not len(where):
         return []
-    first = np.searchsorted(items.gram, codes)
-    sizes = np.searchsorted(items.gram, codes, side="right") - first
-    at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-    owners, begins = items.owner[at], np.repeat(places, sizes) - items.place[at]
-    out = []
-    for item in np.unique(owners):
-        size = len(items.words[item])
-        most, slack = s.match * size, size // 2 + 1
-        starts = np.unique(begins[owners == item])
+    places, out = at[where], []
+    for item in candidates(np.unique(codes), items):
+        size, least = len(items.words[item]), int(items.least[item])
+        most, wide = s.match * size, reach(size, s)
+        own = np.unique(places[np.isin(codes, items.gram[items.ends[item] : items.ends[item + 1]])])
+        heads, tails = own[: max(0, len(own) - least + 1)], own[least - 1 :]
+        close = np.flatnonzero(tails - heads < wide)  # enough n-grams in one passage
+        if not len(close):
+            continue
+        heads, tails = heads[close], tails[close]
         best = (0, 0, 0)
-        for group in np.split(starts, np.flatnonzero(np.diff(starts) > slack) + 1):
-            low, high = max(0, int(group[0]) - slack), min(len(words), int(group[-1]) + size + slack)
+        for group in np.split(np.arange(len(heads)), np.flatnonzero(np.diff(heads) > 2 * wide) + 1):
+            low, high = max(0, int(tails[group[0]]) - wide), min(len(words), int(heads[group[-1]]) + wide)
             score, begin, end = align(items.words[item], words[low:high], s)
             if score > best[0]:
                 best = (score, low + begin, low + end)
@@ -200,8 +254,8 @@ def with_hits(documents: DataFrame, benchmark: DataFrame, into: str, s: Settings
     """``documents`` with an array of the items found in each; texts are aligned where they are read."""
     out, found = documents, []
     for number, rows in enumerate(_blocks(benchmark, s)):
-        every = index_items(rows, s.n)
-        items = seeds(every, frequencies(documents, every, s), s)
+        every = index_items(rows, s)
+        items = seeds(every, frequencies(documents, every))
         name = f"_{into}{number}"
         at, fields = out.columns.index("text"), pa.struct(
             [("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())]

@@ -251,6 +251,40 @@ def test_copies_and_edited_copies_of_items_are_found(spark):
     assert decontam.decontaminate(df, benchmark.limit(0)).count() == len(docs)
 
 
+def test_hits_equal_alignment_of_all_items_with_all_documents(spark):
+    rng, s = np.random.default_rng(12), decontam.Settings()
+    vocabulary = [f"t{i}" for i in range(400)]
+    some = lambda n: list(rng.choice(vocabulary, n))
+    items = {i: some(n) for i, n in enumerate([40, 40, 31, 22, 15, 12, 9, 7, 6, 5, 4, 3, 2, 1])}
+
+    def edited(words, kind, share):
+        out = []
+        for word, hit in zip(words, rng.random(len(words)) < share, strict=True):
+            out += [] if hit and kind == "deleted" else ["x"] if hit and kind == "replaced" else [word, "x"] if hit and kind == "inserted" else [word]
+        return out
+
+    def regular(words, every, kind):
+        return [w for i, word in enumerate(words, 1) for w in ([word] if i % every else {"replaced": ["x"], "inserted": [word, "x"], "deleted": []}[kind])]
+
+    passages = [edited(w, kind, share) for w in items.values() for kind in ("replaced", "inserted", "deleted") for share in (0, 0.1, 0.2, 0.3)]
+    passages += [regular(items[0], n, kind) for n, kind in ((5, "replaced"), (4, "replaced"), (3, "inserted"), (2, "inserted"), (5, "deleted"))]
+    passages += [items[1], []]
+    texts = {i: " ".join(some(60) + p + some(60)) for i, p in enumerate(passages)}
+    hashes = decontam.WordHashes()
+    coded = {i: decontam.terms(" ".join(w).encode(), hashes) for i, w in items.items()}
+    expected = {}
+    for d, text in texts.items():
+        words = decontam.terms(text.encode(), hashes)
+        for i, item in coded.items():
+            score = decontam.align(item, words, s)[0]
+            if score >= s.min_score * s.match * len(item):
+                expected[d, i] = score / (s.match * len(item))
+    assert {(d, 0) for d in range(len(passages) - 7, len(passages) - 2)} <= expected.keys()
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    assert {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(df, benchmark, s).collect()} == expected
+
+
 def test_alignment_equals_plain_smith_waterman():
     rng, s = np.random.default_rng(4), decontam.Settings()
     for _ in range(30):

@@ -2,15 +2,18 @@
 
 A public vocabulary measures each whole text: characters per token, the share of
 tokens that are bytes the vocabulary has no piece for (line breaks and tabs aside),
-and the entropy of the tokens. A band per script rejects texts outside it. Simple
-counts of words, symbols, repeated lines and repeated 8-word windows come first;
+and the entropy of the tokens. A band per script rejects texts outside it: it is
+set from the outer percents of these measures over all documents that pass the base
+rules, and never wider than the fixed limits of ``BANDS``, which hold alone for scripts of
+fewer than ``min_documents`` such documents. Simple counts of words, symbols, repeated lines and repeated 8-word windows come first;
 texts they fail are not judged further.
 
-One pass over the table, no shuffle. The vocabulary file is read by the driver
+One pass over the table, whose counts and measures are stored without texts; what is
+shuffled are histograms of the measures in thousandths. The vocabulary file is read by the driver
 (``model_path`` is a parameter) and travels with the job.
 
 Defined cases: a null or empty text has no words and fails the base rules; repeated
-rows are judged alike; a null ``doc_id`` stays null; other columns are not read.
+rows are judged alike and count as documents; a null ``doc_id`` stays null; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,10 +25,10 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_rows
+from strata.llm.common import map_rows, stored
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -39,10 +42,10 @@ class Band:
     entropy: float  # least bits per token, as a share of the most a text of its length can have
 
 
-#: Bands by script. Scripts the vocabulary hardly covers break into
+#: The widest bands by script. Scripts the vocabulary hardly covers break into
 #: bytes, so their clean texts have few characters and many byte tokens.
 BANDS = {
-    "latin": Band((1.25, 8.0), 0.10, 0.4),
+    "latin": Band((1.62, 8.0), 0.10, 0.4),
     "greek": Band((0.9, 6.0), 0.15, 0.4),
     "cyrillic": Band((1.0, 8.0), 0.10, 0.4),
     "arabic": Band((0.6, 6.0), 0.35, 0.4),
@@ -74,6 +77,10 @@ class Rules:
     max_repeat_percent: int = 30
     window: int = 8
     bands: dict[str, Band] = field(default_factory=lambda: dict(BANDS))
+    outer_percent: float = 1.0
+    slack: tuple[float, float] = (0.65, 1.5)  # below and above: times the way from the median to the outer percent
+    least_byte_share: float = 0.05
+    min_documents: int = 500
 
 
 def script_of(text: bytes) -> str:
@@ -193,20 +200,49 @@ class Words(dict):
         return float(self.chars[numbers].sum()) / n, float(self.odd[ids].mean()), entropy
 
 
-def within(band: Band, chars: float, share: float, entropy: float) -> bool:
-    return band.chars_per_token[0] <= chars <= band.chars_per_token[1] and share <= band.byte_share and entropy >= band.entropy
-
-
-KINDS = (*[pa.int64()] * 5, pa.bool_(), pa.bool_(), pa.string(), *[pa.float64()] * 3)
+def measured_bands(measured: DataFrame, rules: Rules) -> dict[str, Band]:
+    """The band of each script, from all rows of ``measured`` that pass the base rules."""
+    values = F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), F.round(F.col(m) * 1000).cast("long").alias("value")) for m in MEASURES)))
+    counted = measured.where("not base_failed").select("script", values.alias("v")).groupBy("script", "v.measure", "v.value").count()
+    histograms: dict[tuple[str, str], list[tuple[int, int]]] = {}
+    for script, measure, value, n in counted.collect():  # bounded by the scripts and the thousandths
+        histograms.setdefault((script, measure), []).append((value, n))
+    return {script: _narrowed(band, [histograms.get((script, m), []) for m in MEASURES], rules) for script, band in rules.bands.items()}
+
+
+def _narrowed(band: Band, histograms: list[list[tuple[int, int]]], rules: Rules) -> Band:
+    if sum(n for _, n in histograms[0]) < rules.min_documents:
+        return band
+    fences = []
+    for histogram in histograms:
+        values, counts = np.array(sorted(histogram)).T
+        shares = np.array([rules.outer_percent, 50, 100 - rules.outer_percent]) / 100
+        low, middle, high = (values[np.searchsorted(np.cumsum(counts), shares * counts.sum())] / 1000).tolist()
+        fences.append((low - rules.slack[0] * (middle - low), high + rules.slack[1] * (high - middle)))
+    (least, most), (_, share), (entropy, _) = fences
+    chars = max(band.chars_per_token[0], least), min(band.chars_per_token[1], most)
+    return Band(chars, min(band.byte_share, max(share, rules.least_byte_share)), max(band.entropy, entropy))
+
+
+def within(bands: dict[str, Band]) -> Column:
+    """Whether the measures of a row are in the band of its script."""
+    out = F.lit(False)
+    for script, band in bands.items():
+        inside = F.col("chars_per_token").between(*band.chars_per_token) & (F.col("byte_share") <= band.byte_share)
+        out = F.when(F.col("script") == script, inside & (F.col("token_entropy") >= band.entropy)).otherwise(out)
+    return out
+
+
+KINDS = (*[pa.int64()] * 5, pa.bool_(), pa.string(), *[pa.float64()] * 3)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SCHEMA = (
-    "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, kept boolean, script string, "
+    "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, script string, "
     + ", ".join(f"{m} double" for m in MEASURES)
 )
 
 
-def quality_rules(documents: DataFrame, rules: Rules = Rules(), model_path: str = MODEL_PATH) -> DataFrame:
-    """Counts, measures and the verdict of every row."""
+def measures(documents: DataFrame, rules: Rules = Rules(), model_path: str = MODEL_PATH) -> DataFrame:
+    """Counts and measures of every row, and whether it fails the base rules."""
     known = Words(Path(model_path).read_bytes())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -218,10 +254,16 @@ def quality_rules(documents: DataFrame, rules: Rules = Rules(), model_path: str
             symbols = len(text) - len(text.translate(None, SYMBOLS))
             failed = len(words) < rules.min_words or 100 * repeats > rules.max_repeat_percent * len(words)
             script, measured = script_of(text), known.measure(words)
-            kept = not failed and within(rules.bands[script], *measured)
             chars = int(known.chars[words].sum())
-            rows.append((len(words), chars, symbols, duplicate_lines(text), repeats, failed, kept, script, *measured))
+            rows.append((len(words), chars, symbols, duplicate_lines(text), repeats, failed, script, *measured))
         columns = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), KINDS, strict=True)]
-        return pa.record_batch([batch.column(0), *columns], ["doc_id", *COUNTS, "base_failed", "kept", "script", *MEASURES])
+        return pa.record_batch([batch.column(0), *columns], ["doc_id", *COUNTS, "base_failed", "script", *MEASURES])
 
     return map_rows(documents.select(F.col("doc_id").cast("long"), "text"), run, SCHEMA)
+
+
+def quality_rules(documents: DataFrame, rules: Rules = Rules(), model_path: str = MODEL_PATH) -> DataFrame:
+    """Counts, measures and the verdict of every row."""
+    measured = stored(documents.sparkSession, measures(documents, rules, model_path), "fertility")
+    kept = ~F.col("base_failed") & within(measured_bands(measured, rules))
+    return measured.select("doc_id", *COUNTS, "base_failed", kept.alias("kept"), "script", *MEASURES)

@@ -412,6 +412,21 @@ def test_bands_keep_labelled_good_texts(spark, documents):
     assert judged.where("kept").count() == judged.count() > 0
 
 
+@pytest.mark.parametrize("least", [1, 10**9])  # bands as measured, and the fixed limits alone
+def test_bands_reject_junk_and_keep_labelled_good_texts(spark, documents, least):
+    rng = np.random.default_rng(3)
+
+    def junk(letters):
+        return " ".join("".join(rng.choice(list(letters), rng.integers(2, 10))) for _ in range(200))
+
+    made = [junk("abcdefghijklmnopqrstuvwxyz"), junk("bcdfghjklmnpqrstvwxz"), junk("qxzjkvw")]
+    rows = documents.select("doc_id", "text").union(spark.createDataFrame([(-1 - i, text) for i, text in enumerate(made)], "doc_id long, text string"))
+    judged = fertility.quality_rules(rows, fertility.Rules(min_documents=least)).where("not base_failed")
+    assert {r.doc_id: r.kept for r in judged.where("doc_id < 0").collect()} == {-1: False, -2: False, -3: False}
+    good = judged.join(table(spark, TABLES, "labels").where("quality = 1").select("doc_id"), "doc_id")
+    assert good.where("kept").count() == good.count() > 0
+
+
 def test_pages_of_letters_no_piece_covers():
     assert fertility.script_of("привет мир".encode()) == "cyrillic" and fertility.script_of(b"12 34") == "other"
     assert fertility.repeated(np.array([1, 2, 3] * 8), 8) == 24

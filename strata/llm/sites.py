@@ -14,17 +14,18 @@ A branch counts as shared only if it stands on at least ``min_pages`` pages and
 ``min_share`` of its host's, so a host has at most (nodes of a page) / ``min_share``
 such branches, however many pages it has.
 
-Pass one counts, with map-side combine on (host, node, content); no page leaves its
-task. Pass two reads the pages again next to their host's branches: a broadcast while
+Pass one sends the nodes of each page, once for all its copies by a digest of the html,
+and counts them with map-side combine on (host, node, content); no page leaves its task. Pass two reads the pages again next to their host's branches: a broadcast while
 these are measured to be few, a skew-tolerant join beyond.
 
 Defined cases: null or empty html gives an empty text; a page without url is of the
 host ""; markup may be unclosed or nested wrongly; repeated rows are extracted alike
-and count as pages; an empty table gives an empty result; other columns are not read.
+and count as one page of their host, as do equal pages of other urls; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -244,25 +245,29 @@ def _host(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+NODES = "host string, page binary, nodes array<struct<path: long, content: long, children: long>>"
+
+
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """``host, path, content, children, n``: how many of a task's pages show a node so."""
+    """``host, path, content, children, n``: how many distinct pages of a host show a node so."""
+    fields = pa.list_(pa.struct([(name, pa.int64()) for name in ("path", "content", "children")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            counts: dict[tuple[str, int, int, int], int] = {}
+            found: dict[tuple[str, bytes], list[tuple[int, int, int]]] = {}
             for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                host = _host(url)
-                counts[host, 0, 0, 0] = counts.get((host, 0, 0, 0), 0) + 1
-                for path, (content, children) in walk(page, texts=False)[1].items():
-                    key = host, path, content, children
-                    counts[key] = counts.get(key, 0) + 1
-            keys = list(zip(*counts, strict=True))
+                key = _host(url), hashlib.md5((page or "").encode()).digest()
+                if key not in found:
+                    found[key] = [(0, 0, 0), *((path, *seen) for path, seen in walk(page, texts=False)[1].items())]
+            hosts, digests = zip(*found, strict=True)
+            nodes = [[dict(zip(("path", "content", "children"), n, strict=True)) for n in own] for own in found.values()]
             yield pa.record_batch(
-                [pa.array(keys[0], pa.string()), *(pa.array(k, pa.int64()) for k in keys[1:]), pa.array(list(counts.values()), pa.int64())],
-                ["host", "path", "content", "children", "n"],
+                [pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(nodes, fields)], ["host", "page", "nodes"]
             )
 
-    return pages.select("url", "html").mapInArrow(run, "host string, path long, content long, children long, n long")
+    distinct = pages.select("url", "html").mapInArrow(run, NODES).groupBy("host", "page").agg(F.first("nodes").alias("nodes"))
+    shown = distinct.select("host", F.inline("nodes"))
+    return shown.groupBy("host", "path", "content", "children").agg(F.count("*").alias("n"))
 
 
 def site_branches(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -271,8 +276,7 @@ def site_branches(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
     Importance is ``1 - (1 - C) * (1 - P)``: C and P are the entropies of contents and
     of child sequences over the pages with the node, divided by the log of their number.
     """
-    counted = style_nodes(pages).groupBy("host", "path", "content", "children").agg(F.sum("n").alias("n"))
-    seen = stored(pages.sparkSession, counted, "nodes")
+    seen = stored(pages.sparkSession, style_nodes(pages), "nodes")
     by_content = seen.groupBy("host", "path", "content").agg(F.sum("n").alias("n"))
     by_children = seen.groupBy("host", "path", "children").agg(F.sum("n").alias("n"))
 

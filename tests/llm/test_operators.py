@@ -67,6 +67,15 @@ def test_shared_branches_of_a_site_are_removed(spark):
     assert got[None] == "" and got[99] == "Home"
 
 
+def test_copies_of_a_page_count_once(spark):
+    page = lambda n: f"<html><body><div class=box><p>Story {n} of its own.</p></div></body></html>"
+    rows = [(i, f"http://five.org/{i}", page("five")) for i in range(5)]
+    rows += [(100 + i, f"http://many.org/{i}", page("many")) for i in range(1000)]
+    rows += [(2000 + i, f"http://many.org/x{i}", page(i)) for i in range(50)]
+    got = {r.page_id: r.text for r in sites.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: sites.extract(html) for i, _, html in rows} and all(got.values())
+
+
 # SentencePiece
 
 

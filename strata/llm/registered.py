@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import chat, decontam, fertility, lines, minhash, pieces, quality, repeats, sites, toxicity
+from strata.llm import chat, clusters, decontam, fertility, licenses, lines, minhash, phrases, pieces, quality, repeats, sites, toxicity
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,13 +60,26 @@ def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents")).drop("found")
+
+
 def queries() -> dict[str, Query]:
     every = (
         op1_html, op2_sentencepiece, op3_toxicity, op4_suffixes, op5_near_duplicates,
         op6_decontamination, op7_quality, op8_chat, op9_lines, op10_fertility,
+        op11_phrases, op12_clusters, op13_licenses,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_lines": lines.ORACLE_SQL}
+    return {"op9_lines": lines.ORACLE_SQL, "op11_phrases": phrases.ORACLE_SQL, "op12_clusters": clusters.oracle_sql()}

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,14 +40,6 @@ def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
-    """Identity of a document row: equal for repeated rows only.
-
-    A document id alone may occur on several rows, and may be null.
-    """
-    return F.struct(doc_id.alias("id"), F.xxhash64(text).alias("digest"))
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit numbers (the splitmix64 finaliser)."""
     x = values.astype(np.uint64, copy=True)
@@ -80,20 +73,41 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches, so that a task never holds many long texts."""
+#: Rows and bytes of a small batch.
+ROWS, BYTES = 512, 2 * 1024 * 1024
+
+
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS, size: int = BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows`` rows and, but for single rows, ``size`` bytes."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        if batch.nbytes <= size and batch.num_rows <= rows:
+            yield batch
+            continue
+        ends = np.cumsum(sum((_lengths(c) for c in batch.columns), np.zeros(batch.num_rows, np.int64)))
+        at, before = 0, 0
+        while at < batch.num_rows:
+            end = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, "right"))))
+            yield batch.slice(at, end - at)
+            at, before = end, int(ends[end - 1])
+
+
+def _lengths(column: pa.Array) -> np.ndarray:
+    """Bytes of each value of a text or binary column, elements of a list, 8 of others."""
+    kind = column.type
+    if pa.types.is_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_string(kind) or pa.types.is_large_binary(kind):
+        return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if pa.types.is_list(kind) or pa.types.is_large_list(kind):
+        return pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) * 8
+    return np.full(len(column), 8, np.int64)
 
 
 def map_rows(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = ROWS
 ) -> DataFrame:
     """``function`` on small Arrow batches of every partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, rows):
             out = function(batch)
             if out is not None and out.num_rows:
                 yield out

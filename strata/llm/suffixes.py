@@ -151,10 +151,13 @@ def agrees(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.nda
 
 
 def permuted_matches(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """For each position, in text order: is its common prefix with the suffix before it ``depth`` or more."""
-    before = np.full(len(order), -1, np.int64)
+    """For each position, in text order: is its common prefix with the suffix before it ``depth`` or more.
+
+    ``order`` may leave suffixes out; those in it have ``depth`` characters of ``text`` at least.
+    """
+    before = np.full(len(text), -1, np.int64)
     before[order[1:]] = order[:-1]  # the suffix before each, permuted to text order
     at = np.flatnonzero(before >= 0)
-    out = np.zeros(len(order), bool)
+    out = np.zeros(len(text), bool)
     out[at] = agrees(text, at, before[at], depth)
     return out

@@ -8,10 +8,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import chat, components, decontam, fertility, lines, minhash, pieces, quality, registered, repeats, sites, suffixes, toxicity
+from strata.llm import chat, common, components, decontam, fertility, lines, minhash, pieces, quality, registered, repeats, sites, suffixes, toxicity
 from strata.llm.common import table
 
 TABLES = "/root/testdata/sf0.001"
@@ -166,6 +167,26 @@ def test_repeated_bytes_equal_brute_force(documents, texts):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == expected
 
 
+@pytest.mark.parametrize("changed", [{}, {"hot": 2, "block_bytes": 700}, {"broadcast_bytes": 0, "shard_bytes": 5_000, "block_bytes": 2_000}, {"hot": 0, "filter_bits": 15}])
+def test_repeats_of_any_bytes_equal_brute_force(spark, changed):
+    rng = random.Random(str(changed))
+    passages = ["".join(rng.choice("\0\1a") for _ in range(rng.randint(40, 160))) for _ in range(6)] + ["\0" * 90, "a\0" * 60, "xyz" * 40]
+    texts = {}
+    for i in range(240):
+        parts = [rng.choice(passages) if rng.random() < 0.5 else "".join(rng.choice("\0\1ab") for _ in range(rng.randint(0, 80))) for _ in range(rng.randint(0, 6))]
+        texts[i] = "".join(p[rng.randint(0, 30) :] if rng.random() < 0.5 else p for p in parts)
+    docs = spark.createDataFrame([(i, t, None, None) for i, t in texts.items()], DOCS).repartition(4)
+    got = repeats.remove_repeats(docs, repeats.Settings(**changed)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_repeats({i: t.encode() for i, t in texts.items()})
+
+
+def test_batches_are_bounded_by_bytes():
+    batch = pa.record_batch({"text": ["x" * 1000] * 700 + [None, "y" * 50_000] + ["z"] * 10})
+    parts = list(common.pieces(iter([batch]), rows=300, size=100_000))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    assert max(p.num_rows for p in parts) <= 300 and len(parts) == 8
+
+
 def test_repeats_defined_cases(spark, odd):
     got = repeats.remove_repeats(odd.union(odd.where("doc_id = 9"))).collect()
     assert len(got) == len(ODD) + 2 and sum(r.n_removed for r in got) == 0

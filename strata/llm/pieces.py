@@ -10,11 +10,16 @@ then leftmost) until none is left, which is this model's definition of a tokenis
 word. Pieces never reach over the start of a word, so words are independent.
 
 Characters without a piece become bytes. A word mark (U+2581) inside a text is
-written as bytes too, so that every text decodes to itself.
+written as bytes too, so that every text decodes to itself; while words are matched, a
+lone surrogate stands for it, which no UTF-8 text holds.
 
-No shuffle. Defined cases: a null text has null ids and decodes to null, an empty
-text has no ids; repeated rows are encoded alike; null ids of documents stay null;
-other columns are kept by ``encode`` and not read.
+No shuffle. A batch holds ``BATCH`` bytes of text, or one longer text; the words a task
+remembers are bounded (``Encoder.LIMIT``, two generations, so that frequent words stay).
+
+Defined cases: a null text has null ids and decodes to null; an empty text has no ids; a
+long text is a batch of its own; repeated rows are encoded alike; null ids of documents
+stay null; an empty table gives an empty result; other columns are kept and not read. A new
+column takes the place of one that has its name.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -105,7 +111,7 @@ class Edges:
 
     def __init__(self, text: str, model: Model):
         self.model = model
-        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         longest, sizes, spelled = model.spelled.shape[1], model.sizes, model.spelled
         self.width = longest + 1
         order = suffix_array(codes, longest)
@@ -224,11 +230,11 @@ def relax(edges: Edges, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Encoder:
     """Ids of words, remembered up to a bound; new ones are matched a batch at a time."""
 
-    LIMIT = 150_000
+    LIMIT = 80_000  # words of a generation; two are kept
     AT_ONCE = 30_000  # words in one suffix array
 
     def __init__(self, model: Model):
-        self.model, self.known = model, {}
+        self.model, self.known, self.older = model, {}, {}
 
     def learn(self, words: list[str]) -> None:
         text = "".join(words)
@@ -250,13 +256,17 @@ class Encoder:
     def packed(self, texts: list[str | None]) -> list[bytes | None]:
         """The ids of each text as 32-bit numbers in a row."""
         if len(self.known) > self.LIMIT:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         # A mark of the text itself gets a stand-in that no piece contains.
         units = [None if t is None else UNIT.findall(MARK + t.replace(MARK, STAND_IN).replace(" ", MARK)) if t else [] for t in texts]
-        new = list(set().union(*(row for row in units if row)).difference(self.known))
+        known, older, new = self.known, self.older, []
+        for word in set().union(*filter(None, units)).difference(known):
+            if word in older:
+                known[word] = older[word]
+            else:
+                new.append(word)
         for at in range(0, len(new), self.AT_ONCE):
             self.learn(new[at : at + self.AT_ONCE])
-        known = self.known
         return [None if row is None else b"".join(map(known.__getitem__, row)) for row in units]
 
     def encode(self, texts: list[str | None]) -> list[list[int] | None]:
@@ -270,57 +280,90 @@ class Encoder:
         return pa.ListArray.from_arrays(offsets, values, mask=pa.array([x is None for x in rows]))
 
 
-#: Stands for a word mark of the text: not a character, so no text or piece has it.
-STAND_IN = "﷐"
+#: Stands for a word mark of the text: a lone surrogate, which no text or piece has.
+STAND_IN = "\ud800"
+#: Bytes of text in a batch.
+BATCH = 3 * 1024 * 1024
 
 
 def _plain(text: str) -> bytes:
     return text.replace(STAND_IN, MARK).encode()
 
 
+class Decoder:
+    """Texts of ids; the bytes of all pieces are one array, and those of a batch are gathered from it."""
+
+    def __init__(self, model: Model):
+        self.sizes = np.array([len(x) for x in model.outputs], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(model.outputs), np.uint8)
+
+    def column(self, ids: pa.ListArray) -> pa.Array:
+        gone = pc.is_null(ids).to_numpy(zero_copy_only=False)
+        counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        values = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = self.sizes[values]
+        ends = np.cumsum(sizes)
+        source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[values] - ends + sizes, sizes)
+        text = self.bytes[source]
+        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        full = np.flatnonzero(cuts[1:] > cuts[:-1])
+        lead = cuts[:-1][full]
+        lead = lead[text[lead] == 32]  # the blank in front of each text's first word
+        kept = np.ones(len(text), bool)
+        kept[lead] = False
+        cuts = cuts - np.searchsorted(lead, cuts)
+        buffers = [pa.py_buffer(cuts.astype(np.int64).tobytes()), pa.py_buffer(text[kept].tobytes())]
+        found = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, *buffers])
+        try:
+            found = found.cast(pa.string())
+        except pa.ArrowInvalid:  # ids that no text gives
+            found = pa.array([x.as_py().decode("utf-8", "replace") for x in found], pa.string())
+        return pc.if_else(pa.array(gone), pa.scalar(None, pa.string()), found)
+
+
 def decode(rows: list[list[int] | None], model: Model) -> list[str | None]:
-    outputs = model.outputs
-    out = []
-    for ids in rows:
-        text = None if ids is None else b"".join([outputs[i] for i in ids]).decode("utf-8", "replace")
-        out.append(text[1:] if text and text[0] == " " else text)
-    return out
+    return Decoder(model).column(pa.array(rows, pa.list_(pa.int32()))).to_pylist()
 
 
-def encode_column(documents: DataFrame, into: str = "ids", text: str = "text", model: Model | None = None) -> DataFrame:
-    """All columns of ``documents`` and the ids of ``text`` in a new last column."""
-    encoder, at = Encoder(model or read_model()), documents.columns.index(text)
+def _with_columns(documents: DataFrame, new: list[StructField], function) -> DataFrame:
+    """``documents`` with new last columns, which ``function`` makes of each batch; equal names go."""
+    names = {f.name.lower() for f in new}
+    rest = documents.select(*(F.col(f"`{c}`") for c in documents.columns if c.lower() not in names))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = encoder.column(batch.column(at).to_pylist())
-        return pa.record_batch([*batch.columns, ids], [*batch.schema.names, into])
+        added = function(batch)
+        own = [i for i, c in enumerate(batch.schema.names) if c.lower() not in names]
+        return pa.record_batch([*(batch.column(i) for i in own), *added], [*(batch.schema.names[i] for i in own), *(f.name for f in new)])
 
-    return map_rows(documents, run, StructType([*documents.schema, StructField(into, ArrayType(IntegerType()))]))
+    return map_rows(documents, run, StructType([*rest.schema, *new]), rows=10_000, size=BATCH)
 
 
-def decode_column(encoded: DataFrame, into: str = "decoded", ids: str = "ids", model: Model | None = None) -> DataFrame:
-    """All columns of ``encoded`` and the text of ``ids`` in a new last column."""
-    model, at = model or read_model(), encoded.columns.index(ids)
+IDS, TEXT = ArrayType(IntegerType()), StringType()
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = decode(batch.column(at).to_pylist(), model)
-        return pa.record_batch([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, into])
 
-    return map_rows(encoded, run, StructType([*encoded.schema, StructField(into, StringType())]))
+def encode_column(documents: DataFrame, into: str = "ids", text: str = "text", model: Model | None = None) -> DataFrame:
+    """All columns of ``documents`` and the ids of ``text`` in a new last column."""
+    encoder, at = Encoder(model or read_model()), documents.columns.index(text)
+    return _with_columns(documents, [StructField(into, IDS)], lambda batch: [encoder.column(batch.column(at).to_pylist())])
+
+
+def decode_column(encoded: DataFrame, into: str = "decoded", ids: str = "ids", model: Model | None = None) -> DataFrame:
+    """All columns of ``encoded`` and the text of ``ids`` in a new last column."""
+    decoder, at = Decoder(model or read_model()), encoded.columns.index(ids)
+    return _with_columns(encoded, [StructField(into, TEXT)], lambda batch: [decoder.column(batch.column(at))])
 
 
 def encode_and_decode(documents: DataFrame, model: Model | None = None) -> DataFrame:
     """All columns of ``documents``, then ``ids`` of its text and ``decoded``, in one pass."""
     model = model or read_model()
-    encoder, at = Encoder(model), documents.columns.index("text")
+    encoder, decoder, at = Encoder(model), Decoder(model), documents.columns.index("text")
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def both(batch: pa.RecordBatch) -> list[pa.Array]:
         ids = encoder.column(batch.column(at).to_pylist())
-        texts = decode(ids.to_pylist(), model)
-        return pa.record_batch([*batch.columns, ids, pa.array(texts, pa.string())], [*batch.schema.names, "ids", "decoded"])
+        return [ids, decoder.column(ids)]
 
-    fields = [StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]
-    return map_rows(documents, run, StructType([*documents.schema, *fields]))
+    return _with_columns(documents, [StructField("ids", IDS), StructField("decoded", TEXT)], both)
 
 
 def round_trip(documents: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:

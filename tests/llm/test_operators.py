@@ -90,8 +90,30 @@ def test_ids_equal_the_library_and_decode_to_the_text(texts):
     ids = pieces.Encoder(model).encode(cases)
     assert ids == library.encode(cases)
     assert pieces.decode(ids, model) == cases
-    marked = pieces.Encoder(model).encode(["a▁b", None])
-    assert pieces.decode(marked, model) == ["a▁b", None]
+    odd = ["a▁b", None, "\ufdd0", "▁\ufdd0 x▁▁", " ", "  ", ""]
+    assert pieces.decode(pieces.Encoder(model).encode(odd), model) == odd
+    assert pieces.decode([[3], [model.bytes_at[255]], []], model) == ["\x00" if not model.outputs[3] else model.outputs[3].decode("utf-8", "replace"), "\ufffd", ""]
+
+
+def test_words_are_forgotten_and_learned_again(texts):
+    encoder = pieces.Encoder(pieces.read_model())
+    whole = encoder.encode(list(texts.values()))
+    encoder.LIMIT = 50
+    assert [encoder.encode([t])[0] for t in texts.values()] == whole
+
+
+def test_columns_of_equal_names_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a b", "old", 5, "x"), (2, None, "old", 6, "y")], "doc_id long, text string, ids string, n_tokens int, Decoded string")
+    got = pieces.encode_and_decode(docs)
+    assert got.columns == ["doc_id", "text", "n_tokens", "ids", "decoded"]
+    assert [(r.doc_id, r.decoded, r.n_tokens) for r in got.orderBy("doc_id").collect()] == [(1, "a b", 5), (2, None, 6)]
+    assert pieces.encode_and_decode(docs.limit(0)).count() == 0
+
+
+def test_texts_of_many_words_go_in_small_batches():
+    texts = pa.record_batch({"text": [" ".join(f"w{i}" for i in range(20_000)) for _ in range(64)]})
+    sizes = [b.num_rows for b in common.pieces(iter([texts]), rows=10_000, size=pieces.BATCH)]
+    assert sum(sizes) == 64 and max(sizes) <= 30
 
 
 def test_encoding_defined_cases(spark, odd):
@@ -281,6 +303,13 @@ def test_copies_and_edited_copies_of_items_are_found(spark):
     assert decontam.decontaminate(df, benchmark.limit(0)).count() == len(docs)
 
 
+def test_punctuation_of_any_kind_separates_words(spark):
+    benchmark = spark.createDataFrame([(1, "one two three four five six seven eight"), (2, "élan Ünder 東京 straße"), (3, "a_b c")], "item_id long, text string")
+    docs = [(1, "“One two—three… four”\u00a0five、six «seven» eight"), (2, "‘ÉLAN’ ünder\u3000東京。straße"), (3, "a b c"), (4, "onetwo threefour fivesix seveneight")]
+    hits = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+    assert {(r.doc_id, r.item_id, r.score) for r in hits} == {(1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0)}
+
+
 def test_hits_equal_alignment_of_all_items_with_all_documents(spark):
     rng, s = np.random.default_rng(12), decontam.Settings()
     vocabulary = [f"t{i}" for i in range(400)]
@@ -300,11 +329,12 @@ def test_hits_equal_alignment_of_all_items_with_all_documents(spark):
     passages += [regular(items[0], n, kind) for n, kind in ((5, "replaced"), (4, "replaced"), (3, "inserted"), (2, "inserted"), (5, "deleted"))]
     passages += [items[1], []]
     texts = {i: " ".join(some(60) + p + some(60)) for i, p in enumerate(passages)}
-    hashes = decontam.WordHashes()
-    coded = {i: decontam.terms(" ".join(w).encode(), hashes) for i, w in items.items()}
+    numbers = defaultdict(lambda: len(numbers) + 1)
+    number = lambda words: np.array([numbers[w] for w in words], np.uint64)
+    coded = {i: number(w) for i, w in items.items()}
     expected = {}
     for d, text in texts.items():
-        words = decontam.terms(text.encode(), hashes)
+        words = number(text.split())
         for i, item in coded.items():
             score = decontam.align(item, words, s)[0]
             if score >= s.min_score * s.match * len(item):

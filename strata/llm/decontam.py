@@ -16,11 +16,15 @@ Two passes over the documents, no shuffle of texts. The test items are the query
 set: they are taken in blocks of ``block_items`` items and ``block_bytes`` of text,
 so that what a task holds is bounded; every block meets every document.
 
-Words are lower-cased; what is not a letter or digit separates them. Defined cases:
-null and empty texts match nothing; an item without words matches nothing, one of
-a single word is found where it stands; repeated items are items of
-their own unless id and text agree; repeated documents are scored alike; null ids
-stay null; other columns are not read by the scores and are kept by the filter.
+Words are lower-cased runs of letters and digits of any script; all else separates them, so
+quotes, dashes or blanks of another kind hide nothing. Words that no item has are told apart
+from the items' words only.
+
+Defined cases: null and empty texts match nothing; an item without words matches nothing,
+one of a single word is found where it stands; repeated items are items of their own unless
+id and text agree; repeated documents are scored alike; null ids stay null; a long text is
+looked up and aligned passage by passage; empty tables give empty results, or all documents
+from the filter; other columns are not read by the scores and are kept by the filter.
 """
 
 from __future__ import annotations
@@ -29,15 +33,16 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import WordHashes, map_rows, pieces
+from strata.llm.common import map_batches, map_rows, pieces, word_hash
 
-TERM = re.compile(rb"[a-z0-9\x80-\xff]+")
+TERM = re.compile(r"[^\W_]+")
 
 
 @dataclass(frozen=True)
@@ -51,8 +56,20 @@ class Settings:
     block_bytes: int = 16 * 1024 * 1024
 
 
-def terms(text: bytes | None, hashes: WordHashes) -> np.ndarray:
-    return hashes.of(TERM.findall((text or b"").decode("utf-8", "replace").lower().encode()))
+def words_of(text: str | None) -> list[str]:
+    return TERM.findall((text or "").lower())
+
+
+class Vocabulary:
+    """Hashes of the words of some items; any other word is 0, which no item has."""
+
+    def __init__(self, words: list[str]):
+        self.numbers = {w: i + 1 for i, w in enumerate(dict.fromkeys(words))}
+        self.hashes = np.array([0, *map(word_hash, self.numbers)], np.uint64)
+
+    def terms(self, text: str | None) -> np.ndarray:
+        words = words_of(text)
+        return self.hashes[np.fromiter(map(self.numbers.get, words, repeat(0)), np.int64, len(words))]
 
 
 def grams(words: np.ndarray, n: int) -> np.ndarray:
@@ -114,6 +131,7 @@ class Items:
     """A block of test items: ids, words, n-grams, and by n-gram the items it is a seed of."""
 
     ids: list[int | None]
+    vocabulary: Vocabulary
     words: list[np.ndarray]
     sizes: list[int]  # words of the n-grams in use
     least: np.ndarray  # how many n-grams of each item a document must hold
@@ -126,15 +144,15 @@ class Items:
 
 def index_items(rows: list[tuple[int | None, str | None]], s: Settings) -> Items:
     """The items with all of their n-grams and no seeds yet."""
-    hashes = WordHashes()
-    words = [terms((text or "").encode(), hashes) for _, text in rows]
+    vocabulary = Vocabulary([w for _, text in rows for w in words_of(text)])
+    words = [vocabulary.terms(text) for _, text in rows]
     sizes = [next((n for n in range(s.n, 1, -1) if needed(len(w), n, s) > 0), 1) for w in words]
     least = np.array([max(1, needed(len(w), n, s)) for w, n in zip(words, sizes, strict=True)], np.int64)
     found = [grams(w, n) for w, n in zip(words, sizes, strict=True)]
     codes, gram = np.unique(np.concatenate([*found, np.empty(0, np.uint64)]), return_inverse=True)
     ends = np.cumsum([0, *map(len, found)])
     none = np.empty(0, np.int64)
-    return Items([i for i, _ in rows], words, sorted(set(sizes)), least, codes, gram.astype(np.int64), ends, none, none)
+    return Items([i for i, _ in rows], vocabulary, words, sorted(set(sizes)), least, codes, gram.astype(np.int64), ends, none, none)
 
 
 def all_grams(words: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
@@ -157,16 +175,15 @@ def frequencies(documents: DataFrame, items: Items) -> np.ndarray:
     codes = items.codes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), np.zeros(len(codes), np.int64)
+        counts = np.zeros(len(codes), np.int64)
         for batch in pieces(batches):
             for text in batch.column(0).to_pylist():
-                counts[np.unique(lookup(codes, all_grams(terms(text, hashes), items)[0])[1])] += 1
+                counts[np.unique(lookup(codes, all_grams(items.vocabulary.terms(text), items)[0])[1])] += 1
         seen = np.flatnonzero(counts)
         if len(seen):
             yield pa.record_batch([pa.array(seen), pa.array(counts[seen])], ["gram", "n"])
 
-    texts = documents.select(F.col("text").cast("binary"))
-    rows = texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    rows = map_batches(documents.select(F.col("text").cast("string")), run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(codes), np.int64)
     out[rows["gram"].to_numpy()] = rows["n"].to_numpy()
     return out
@@ -261,10 +278,10 @@ def with_hits(documents: DataFrame, benchmark: DataFrame, into: str, s: Settings
             [("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())]
         )
 
-        def run(batch: pa.RecordBatch, items=items, at=at, name=name, fields=fields, hashes=WordHashes()) -> pa.RecordBatch:
+        def run(batch: pa.RecordBatch, items=items, at=at, name=name, fields=fields) -> pa.RecordBatch:
             hits = []
-            for text in batch.column(at).cast(pa.binary()).to_pylist():
-                own = matches(terms(text, hashes), items, s)
+            for text in batch.column(at).to_pylist():
+                own = matches(items.vocabulary.terms(text), items, s)
                 hits.append([{"item_id": items.ids[i], "score": p, "first_word": a, "last_word": b - 1} for i, p, a, b in own])
             return pa.record_batch([*batch.columns, pa.array(hits, pa.list_(fields))], [*batch.schema.names, name])
 

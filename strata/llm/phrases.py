@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import mix, pieces, stored, word_hash
+from strata.llm.common import map_batches, mix, pieces, stored, word_hash
 
 # Characters that end a piece, and those that separate words in it.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -55,7 +55,7 @@ class Settings:
     least: int = 10
     inside_percent: int = 50
     top: int = 2000
-    block_bytes: int = 8 * 1024 * 1024
+    block_bytes: int = 4 * 1024 * 1024
     filter_bits: int = 28
 
 
@@ -113,6 +113,9 @@ def distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     return out[::-1], counts
 
 
+#: Parts of a language that are ranked apart first.
+SHARES = 8
+
 #: A gram is named by its language, a line feed (no word holds one) and its words, space-joined.
 SEPARATOR = "\n"
 
@@ -173,7 +176,7 @@ def _counted(documents: DataFrame, count, s: Settings) -> DataFrame:
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     rows = documents.select(lang.alias("lang"), F.col("text").cast("binary").alias("text")).where(F.length("text") > 0)
-    return rows.mapInArrow(run, "gram string, f long").groupBy("gram").agg(F.sum("f").alias("f"))
+    return map_batches(rows, run, "gram string, f long").groupBy("gram").agg(F.sum("f").alias("f"))
 
 
 def _named(counts: DataFrame) -> DataFrame:
@@ -198,7 +201,7 @@ def pair_filter(pairs: DataFrame, s: Settings) -> np.ndarray:
             here = np.arange(len(lang))
             yield pa.record_batch([pa.array((pair_hashes(np.concatenate([a, b]), lang, here, here, here + len(a)) & mask).astype(np.int64) + 1)], ["bit"])
 
-    bit = pairs.select("lang", "w1", "w2").mapInArrow(run, "bit long")
+    bit = map_batches(pairs.select("lang", "w1", "w2"), run, "bit long")
     groups = bit.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
     out = np.zeros((1 << bits) // 8, np.uint8)
     for row in groups.toLocalIterator():
@@ -304,8 +307,11 @@ def collocations(documents: DataFrame, s: Settings = Settings()) -> DataFrame:
         F.when(first & (F.col("n") == 3), F.col("right_2")).otherwise(F.col("right_1")).alias("r"),
         F.col("cut.score").alias("score"),
     )
-    best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    ranked = rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= s.top)
+    order = (F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
+    # The first ones of every share of a language, then of these: a task sees bounded rows.
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    close = rows.withColumn("place", F.row_number().over(Window.partitionBy("lang", share).orderBy(*order))).where(F.col("place") <= s.top)
+    ranked = close.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= s.top)
     totals = counts.where("n = 0").select(F.col("lang"), F.col("a").alias("n"))
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.scratch import scratch_dir
 
@@ -61,7 +62,7 @@ def word_hash(word: str | bytes) -> int:
 class WordHashes(dict):
     """Hashes of words, remembered up to a bound."""
 
-    LIMIT = 500_000
+    LIMIT = 150_000
 
     def __missing__(self, word: str | bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -77,39 +78,70 @@ class WordHashes(dict):
 ROWS, BYTES = 512, 2 * 1024 * 1024
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``mapInArrow``, with ``ROWS`` rows a batch: Spark's 10,000 long texts would fill a worker."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(setting)) <= ROWS:
+        df.sparkSession.conf.set(setting, str(ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS, size: int = BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows`` rows and, but for single rows, ``size`` bytes."""
+    """The same rows in batches of ``rows`` rows and ``size`` bytes at most, but for single long rows."""
+    waiting, held, weight = [], 0, 0
     for batch in batches:
-        if batch.nbytes <= size and batch.num_rows <= rows:
-            yield batch
-            continue
-        ends = np.cumsum(sum((_lengths(c) for c in batch.columns), np.zeros(batch.num_rows, np.int64)))
-        at, before = 0, 0
-        while at < batch.num_rows:
-            end = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, "right"))))
-            yield batch.slice(at, end - at)
-            at, before = end, int(ends[end - 1])
+        for part in _split(batch, rows, size):
+            if waiting and (held + part.num_rows > rows or weight + part.nbytes > size):
+                yield _joined(waiting)
+                waiting, held, weight = [], 0, 0
+            waiting.append(part)
+            held, weight = held + part.num_rows, weight + part.nbytes
+    if waiting:
+        yield _joined(waiting)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def _split(batch: pa.RecordBatch, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Parts of at most ``rows`` rows and, but for single rows, ``size`` bytes."""
+    if batch.nbytes <= size and 0 < batch.num_rows <= rows:
+        yield batch
+        return
+    ends = np.cumsum(sum((_lengths(c) for c in batch.columns), np.zeros(batch.num_rows, np.int64)))
+    at, before = 0, 0
+    while at < batch.num_rows:
+        end = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, "right"))))
+        yield batch.slice(at, end - at)
+        at, before = end, int(ends[end - 1])
 
 
 def _lengths(column: pa.Array) -> np.ndarray:
-    """Bytes of each value of a text or binary column, elements of a list, 8 of others."""
-    kind = column.type
+    """Bytes of each value of a text or binary column, about those of a list, 8 of others."""
+    kind, size = column.type, None
     if pa.types.is_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_string(kind) or pa.types.is_large_binary(kind):
-        return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    if pa.types.is_list(kind) or pa.types.is_large_list(kind):
-        return pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) * 8
-    return np.full(len(column), 8, np.int64)
+        size = pc.binary_length(column)
+    elif pa.types.is_list(kind) or pa.types.is_large_list(kind):
+        size = pc.multiply(pc.list_value_length(column), 8)
+    if size is None:
+        return np.full(len(column), 8, np.int64)
+    return pc.fill_null(size, 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def map_rows(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = ROWS
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: str | StructType,
+    rows: int = ROWS,
+    size: int = BYTES,
 ) -> DataFrame:
     """``function`` on small Arrow batches of every partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, rows):
+        for batch in pieces(batches, rows, size):
             out = function(batch)
             if out is not None and out.num_rows:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)

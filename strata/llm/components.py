@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import map_batches, stored
 
 
 def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,7 +43,7 @@ def components(links: DataFrame) -> DataFrame:
     pairs = links.where(F.col(first) != F.col(second)).select(
         F.greatest(first, second).cast("long").alias("a"), F.least(first, second).cast("long").alias("b")
     )
-    stars = stored(spark, pairs.mapInArrow(_union_find, "a long, b long").distinct(), "links")
+    stars = stored(spark, map_batches(pairs, _union_find, "a long, b long").distinct(), "links")
     seen = None
     while True:
         now = tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())

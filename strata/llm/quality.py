@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from strata.llm.common import TOKEN, WordHashes, held_out, map_rows, mix, pieces, word_hash
+from strata.llm.common import TOKEN, WordHashes, held_out, map_batches, map_rows, mix, pieces, word_hash
 
 
 @dataclass(frozen=True)
@@ -137,7 +137,7 @@ def corpus_vectors(documents: DataFrame, s: Settings) -> np.ndarray:
             yield pa.record_batch([pa.array(full), *(pa.array(c) for c in table[full].T)], ["bucket", *names])
 
     names = [f"v{i}" for i in range(s.size)]
-    parts = documents.select("text").mapInArrow(run, "bucket long, " + ", ".join(f"{n} long" for n in names))
+    parts = map_batches(documents.select("text"), run, "bucket long, " + ", ".join(f"{n} long" for n in names))
     rows = parts.groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names)).toArrow()
     out = np.zeros((s.buckets, s.size))
     out[rows["bucket"].to_numpy()] = np.column_stack([rows[n].to_numpy() for n in names])

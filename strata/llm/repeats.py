@@ -46,7 +46,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_rows, mix, pieces, stored
+from strata.llm.common import map_batches, map_rows, mix, pieces, stored
 from strata.llm.suffixes import permuted_matches, suffix_array, words_at
 
 
@@ -214,7 +214,7 @@ def gram_filters(rows: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray]:
                 counts = np.where(counts > 1, kept, counts)
             yield pa.record_batch([pa.array(grams[heads].view(np.int64)), pa.array(counts), pa.array(several.astype(np.int64) + 1)], ["gram", "n", "documents"])
 
-    found = rows.select("id", "tag", "text").mapInArrow(run, "gram long, n long, documents long")
+    found = map_batches(rows.select("id", "tag", "text"), run, "gram long, n long, documents long")
     shared = found.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents")).where("documents > 1")
     shared = stored(rows.sparkSession, shared.select("gram", "n"), "grams")
     total, hot = shared.agg(F.count("*"), F.count_if(F.col("n") > s.hot)).first()
@@ -288,7 +288,7 @@ def shards(rows: DataFrame, count: int, shared: np.ndarray, hot: np.ndarray, s:
             while some := list(islice(found, 64)):
                 yield pa.record_batch([pa.array([k for k, _ in some], pa.int64()), pa.array([p for _, p in some], pa.binary())], ["shard", "payload"])
 
-    return rows.select("id", "tag", "text").mapInArrow(run, BLOCK)
+    return map_batches(rows.select("id", "tag", "text"), run, BLOCK)
 
 
 def _possible(text: np.ndarray, at: np.ndarray, doc: np.ndarray, s: Settings) -> np.ndarray:

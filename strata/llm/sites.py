@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_rows, pieces, stored, word_hash
+from strata.llm.common import map_batches, map_rows, pieces, stored, word_hash
 
 
 @dataclass(frozen=True)
@@ -265,7 +265,7 @@ def style_nodes(pages: DataFrame) -> DataFrame:
                 [pa.array(hosts, pa.string()), pa.array(digests, pa.binary()), pa.array(nodes, fields)], ["host", "page", "nodes"]
             )
 
-    distinct = pages.select("url", "html").mapInArrow(run, NODES).groupBy("host", "page").agg(F.first("nodes").alias("nodes"))
+    distinct = map_batches(pages.select("url", "html"), run, NODES).groupBy("host", "page").agg(F.first("nodes").alias("nodes"))
     shown = distinct.select("host", F.inline("nodes"))
     return shown.groupBy("host", "path", "content", "children").agg(F.count("*").alias("n"))
 

@@ -12,9 +12,11 @@ from strata.functions.clean import (
 from strata.functions.metrics import (
     any_true,
     distinct,
+    distinct_sketch,
     first_by,
     is_exact,
     mean,
+    merged_distinct,
     rate_pct,
     ratio,
     total,
@@ -25,10 +27,12 @@ __all__ = [
     "any_true",
     "band",
     "distinct",
+    "distinct_sketch",
     "first_by",
     "is_exact",
     "lead_days",
     "mean",
+    "merged_distinct",
     "net_amount",
     "normalize",
     "override_when_null",

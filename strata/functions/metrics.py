@@ -74,3 +74,20 @@ def distinct(column: str, unique: bool = False) -> Column:
     gives the same number and keeps every value of the column out of the shuffle.
     """
     return F.count(column) if unique else F.countDistinct(column)
+
+
+#: log2 of a sketch's cells: standard error 0.8 % above some hundred values, exact in effect below.
+SKETCH_BITS = 14
+
+
+def distinct_sketch(column: str, bits: int = SKETCH_BITS) -> Column:
+    """Sketch of the distinct values of ``column``, to be stored beside exact counts.
+
+    Its size is bounded (``2 ** bits`` cells, fewer for small groups), whatever the group.
+    """
+    return F.hll_sketch_agg(column, bits)
+
+
+def merged_distinct(sketch: str) -> Column:
+    """Estimated distinct values of all groups whose sketches meet, in any order."""
+    return F.hll_sketch_estimate(F.hll_union_agg(sketch))

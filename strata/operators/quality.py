@@ -18,9 +18,10 @@ def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def gate_metrics(key: str) -> list[Column]:
-    """Counts the gate needs, for ``agg`` or for an ``Observation``."""
-    return [F.count(F.lit(1)).alias("total"), F.count_if(F.col(key).isNull()).alias("null_critical")]
+def gate_metrics(*critical: str) -> list[Column]:
+    """Counts the gate needs, for ``agg`` or for an ``Observation``: rows, and rows with a null among ``critical``."""
+    missing = reduce(or_, [F.col(f"`{c}`").isNull() for c in critical])
+    return [F.count(F.lit(1)).alias("total"), F.count_if(missing).alias("null_critical")]
 
 
 def null_pct(nulls: Column, total: Column) -> Column:

@@ -126,7 +126,8 @@ def logistics_kpi(logistics: DataFrame, *, as_of: datetime | None = None) -> Dat
     return stamp_layer(flagged, "gold", as_of)
 
 
-def _order_shipping(exact: bool) -> list[Column]:
+def order_shipping(exact: bool) -> list[Column]:
+    """Aggregates that bring shipments to order grain."""
     lead = mean(F.col("delivery_lead_time_days"), 1)
     return [
         (lead.cast("decimal(10,1)") if exact else lead).alias("avg_lead_time"),
@@ -141,7 +142,7 @@ def shipping_by_order(logistics: DataFrame, *, with_first: bool = False) -> Data
     ``with_first`` adds carrier and status of the order's first shipment, by
     dispatch date and then shipment id.
     """
-    aggs = _order_shipping(is_exact(logistics, "freight_cost"))
+    aggs = order_shipping(is_exact(logistics, "freight_cost"))
     if with_first:
         order = [F.col("dispatch_date"), F.col("shipment_id")]
         aggs += [
@@ -165,7 +166,7 @@ def executive_summary(
     """
     exact = is_exact(sales, "net_sales_amount")
     orders = preaggregate_then_left_join(
-        sales, logistics, "order_id", _order_shipping(exact)
+        sales, logistics, "order_id", order_shipping(exact)
     )
     freight, net = F.sum("total_freight_cost"), F.sum("net_sales_amount")
     months = orders.groupBy(*MONTH_GRAIN).agg(

@@ -13,7 +13,6 @@ from functools import partial
 from typing import TypeVar
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,10 +21,11 @@ from strata.operators.audit import with_audit, with_ingestion_year
 from strata.operators.caching import cached
 from strata.operators.quality import MAX_NULL_PCT, gate_metrics
 from strata.plans import kpi, refine
-from strata.sources import contracts
+from strata.scratch import scratch_dir, scratch_scope
+from strata.sources import contracts, manifest
 from strata.sources.contracts import LayerPaths
 from strata.sources.readers import read_csv_contract, read_json_contract, read_table
-from strata.sources.writers import append_table, overwrite_table, skip_seen
+from strata.sources.writers import append_table, overwrite_table
 
 # Partition columns of the stored tables.
 BRONZE_PARTITIONS = ("_year",)
@@ -33,9 +33,6 @@ SALES_PARTITIONS = ("order_year", "order_month")
 LOGISTICS_PARTITIONS = ("status",)
 GOLD_PARTITIONS = ("order_year",)
 
-_SOURCE_FILE = T.StructType([T.StructField("_source_file", T.StringType(), True)])
-
-
 Result = TypeVar("Result")
 
 
@@ -55,16 +52,6 @@ def ingest(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
     return with_ingestion_year(with_audit(df, "bronze", as_of), as_of)
 
 
-def _unseen(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> DataFrame:
-    try:
-        stored = read_table(spark, path, fmt, schema=_SOURCE_FILE)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return df  # first run: no table yet
-    return skip_seen(df, stored)
-
-
 def run_bronze(
     spark: SparkSession,
     paths: LayerPaths,
@@ -80,43 +67,61 @@ def run_bronze(
     """Append both raw inputs to bronze; returns the rows appended per table.
 
     Running twice appends twice (the silver dedup absorbs it) unless
-    ``only_new_files`` leaves out files bronze already holds.
+    ``only_new_files``: then the inputs are listed, files in the manifest of
+    earlier such runs are left out, and only the others are scanned. A run
+    without new files scans nothing.
     """
-    inputs = {
-        "sales": read_csv_contract(
-            spark, sales_csv, contracts.SALES_CONTRACT, enforce_header=enforce_header
-        ),
-        "logistics": read_json_contract(
-            spark, logistics_json, contracts.LOGISTICS_CONTRACT, multi_line=multi_line
-        ),
+    reads = {
+        "sales": (sales_csv, partial(read_csv_contract, contract=contracts.SALES_CONTRACT, enforce_header=enforce_header)),
+        "logistics": (logistics_json, partial(read_json_contract, contract=contracts.LOGISTICS_CONTRACT, multi_line=multi_line)),
     }
 
-    def append(table: str, raw: DataFrame) -> int:
-        df, path = ingest(raw, as_of), paths.bronze(table)
-        if only_new_files:
-            df = _unseen(spark, df, path, fmt)
-        seen = Observation()
-        append_table(df, path, fmt, partition_cols=BRONZE_PARTITIONS, watch=(seen, _rows()))
-        return seen.get["rows"]
-
-    return _together({table: partial(append, table, raw) for table, raw in inputs.items()})
+    def append(table: str) -> int:
+        inputs, read = reads[table]
+        if not only_new_files:
+            return _append(ingest(read(spark, inputs), as_of), paths.bronze(table), fmt)
+        with scratch_scope(spark):  # the list that is read is the list that is recorded
+            listed = scratch_dir(spark, "listing")
+            manifest.new_files(spark, inputs, paths.manifest(table)).coalesce(1).write.parquet(listed)
+            files = spark.read.parquet(listed)
+            new = manifest.paths_of(files)
+            if not new:
+                return 0
+            rows = _append(ingest(read(spark, new), as_of), paths.bronze(table), fmt)
+            manifest.record_files(files, paths.manifest(table), as_of)
+            return rows
+
+    return _together({table: partial(append, table) for table in reads})
+
+
+def _append(df: DataFrame, path: str, fmt: str) -> int:
+    seen = Observation()
+    append_table(df, path, fmt, partition_cols=BRONZE_PARTITIONS, watch=(seen, _rows()))
+    return seen.get["rows"]
 
 
 def _gated_overwrite(
-    df: DataFrame,
+    raw: DataFrame,
+    plan: refine.Refined,
     path: str,
     fmt: str,
     partition_cols: Sequence[str],
-    key: str,
+    critical: Sequence[str],
     max_null_pct: float,
+    distribute: bool,
 ) -> dict[str, object]:
-    seen = Observation()
+    read, seen, kept = raw.count(), Observation(), Observation()
+    latest = plan.latest.observe(kept, F.count(F.lit(1)).alias("latest"), F.count_if(plan.dropped).alias("rejected"))
     overwrite_table(
-        df, path, fmt, partition_cols=partition_cols, watch=(seen, gate_metrics(key))
+        plan.finish(latest), path, fmt, partition_cols=partition_cols, distribute=distribute, watch=(seen, gate_metrics(*critical))
     )
-    counts = dict(seen.get)
+    counts = {**kept.get, **seen.get}
+    if counts["latest"] != counts["rejected"] + counts["total"]:  # tasks ran twice
+        counts |= plan.latest.agg(F.count(F.lit(1)).alias("latest"), F.count_if(plan.dropped).alias("rejected")).first().asDict()
+        counts["total"] = counts["latest"] - counts["rejected"]
     pct = 100.0 * counts["null_critical"] / counts["total"] if counts["total"] else 0.0
-    return {**counts, "null_pct": pct, "passed": pct <= max_null_pct}
+    duplicates = read - counts.pop("latest")
+    return {"read": read, "duplicates": duplicates, **counts, "null_pct": pct, "passed": pct <= max_null_pct}
 
 
 def run_silver(
@@ -124,7 +129,7 @@ def run_silver(
     paths: LayerPaths,
     *,
     fmt: str = "parquet",
-    money: str = "double",
+    money: str = refine.EXACT_MONEY,
     merge_schema: bool = True,
     max_null_pct: float = MAX_NULL_PCT,
     sales_ties: Sequence[Column | str] | None = None,
@@ -132,9 +137,15 @@ def run_silver(
     logistics_ties: Sequence[Column | str] | None = None,
     as_of: datetime | None = None,
 ) -> dict[str, dict[str, object]]:
-    """Rebuild both silver tables; returns each table's gate figures.
-
-    The gate checks each table's own key. It reports and does not block. With
+    """Rebuild both silver tables; returns each table's figures and gate.
+
+    Of the rows ``read``, some are ``duplicates`` of newer ones, some are
+    ``rejected`` for missing required values, and ``total`` are written. The
+    gate looks at what was written: ``null_critical`` rows have no key, or an
+    amount or date that was there and could not be read, and ``passed`` says
+    whether their share is within ``max_null_pct``. It reports and does not
+    block. Amounts are decimal, so that sums do not depend on their order;
+    ``money="double"`` is there for readers that need it. With
     ``merge_schema`` columns that some ingestions added reach silver, at the
     price of opening every bronze file once more; without it the contracts'
     columns are read directly.
@@ -145,27 +156,22 @@ def run_silver(
         stored = read_table(spark, paths.bronze(table), fmt, schema=schema)
         return stored.drop(contracts.CORRUPT_COLUMN)
 
-    sales = refine.refine_sales(
-        bronze("sales", contracts.SALES_CONTRACT),
-        money=money,
-        tie_breakers=sales_ties,
-        as_of=as_of,
-    )
-    logistics = refine.refine_logistics(
-        bronze("logistics", contracts.LOGISTICS_CONTRACT),
-        money=money,
-        newest=logistics_newest,
-        tie_breakers=logistics_ties,
-        as_of=as_of,
-    )
+    raw = {"sales": bronze("sales", contracts.SALES_CONTRACT), "logistics": bronze("logistics", contracts.LOGISTICS_CONTRACT)}
     plans = {
-        "sales": (sales, SALES_PARTITIONS, refine.SALES_KEY),
-        "logistics": (logistics, LOGISTICS_PARTITIONS, refine.LOGISTICS_KEY),
+        "sales": refine.plan_sales(raw["sales"], money=money, tie_breakers=sales_ties, as_of=as_of),
+        "logistics": refine.plan_logistics(
+            raw["logistics"], money=money, newest=logistics_newest, tie_breakers=logistics_ties, as_of=as_of
+        ),
+    }
+    # A status is a third of all rows: the tasks' own files are even, a shuffle by it is not needed.
+    stored = {
+        "sales": (SALES_PARTITIONS, refine.SALES_CRITICAL, True),
+        "logistics": (LOGISTICS_PARTITIONS, refine.LOGISTICS_CRITICAL, False),
     }
     return _together(
         {
-            table: partial(_gated_overwrite, df, paths.silver(table), fmt, parts, key, max_null_pct)
-            for table, (df, parts, key) in plans.items()
+            table: partial(_gated_overwrite, raw[table], plans[table], paths.silver(table), fmt, parts, critical, max_null_pct, distribute)
+            for table, (parts, critical, distribute) in stored.items()
         }
     )
 
@@ -185,15 +191,20 @@ def run_gold(
     fmt: str = "parquet",
     cache_level: StorageLevel | None = None,
     one_row_per_order: bool = True,
+    rank_spread: int | None = None,
+    share_spread: bool = False,
     as_of: datetime | None = None,
 ) -> dict[str, int]:
     """Rebuild the four KPI tables; returns the rows written per table.
 
     ``one_row_per_order`` holds for silver sales written by ``run_silver``.
+    ``rank_spread`` and ``share_spread`` are those of the KPI plans, for regions
+    and categories that are free text.
 
     Three of them read sales. By default each rescans the few columns it uses,
     which holds at any table size; ``cache_level`` keeps those columns cached
-    for the run instead, where they fit the cluster's storage memory.
+    for the run instead, where they fit the cluster's storage memory. The cache
+    is filled before the tables are computed, which they are at the same time.
     """
     used = (
         "region", "product_category", "order_year", "order_month", "order_quarter",
@@ -209,10 +220,11 @@ def run_gold(
         )
         return seen.get["rows"]
 
-    with cached(read_silver(spark, paths, "sales", fmt).select(*used), cache_level) as sales:
+    stored = read_silver(spark, paths, "sales", fmt).select(*used)
+    with scratch_scope(spark), cached(stored, cache_level, materialize=True) as sales:
         plans = {
-            "sales_by_region": (kpi.sales_by_region(sales, **grain), GOLD_PARTITIONS),
-            "sales_by_category": (kpi.sales_by_category(sales, **grain), GOLD_PARTITIONS),
+            "sales_by_region": (kpi.sales_by_region(sales, rank_spread=rank_spread, **grain), GOLD_PARTITIONS),
+            "sales_by_category": (kpi.sales_by_category(sales, share_spread=share_spread, **grain), GOLD_PARTITIONS),
             "logistics_kpi": (kpi.logistics_kpi(logistics, as_of=as_of), ()),
             "executive_summary": (kpi.executive_summary(sales, logistics, **grain), GOLD_PARTITIONS),
         }

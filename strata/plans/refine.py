@@ -7,8 +7,11 @@ looks at the raw text, so present but unreadable values survive as null.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +20,7 @@ from strata.functions import clean, parse
 from strata.operators.audit import stamp_layer
 from strata.operators.dedup import dedup_latest
 from strata.operators.quality import rejected
-from strata.operators.shaping import (
-    calendar_parts,
-    fill_defaults,
-    normalize_text,
-    require_not_null,
-)
+from strata.operators.shaping import calendar_parts, fill_defaults, normalize_text
 
 EXACT_MONEY = "decimal(18,2)"
 EXACT_PERCENT = "decimal(9,4)"
@@ -31,6 +29,7 @@ EXACT_PERCENT = "decimal(9,4)"
 INGESTED = "_ingestion_timestamp"
 SALES_KEY = "order_id"
 SALES_REQUIRED = ("order_id", "sales_amount", "order_date")
+SALES_CRITICAL = ("order_id", "sales_amount", "order_date")
 SALES_TEXT = ("region", "product_category", "customer_id", "salesperson_id")
 SALES_DEFAULTS = {
     "discount": 0.0,
@@ -39,6 +38,7 @@ SALES_DEFAULTS = {
 }
 LOGISTICS_KEY = "shipment_id"
 LOGISTICS_REQUIRED = ("shipment_id", "dispatch_date")
+LOGISTICS_CRITICAL = ("shipment_id", "dispatch_date", "freight_cost")
 LOGISTICS_TEXT = ("carrier", "status", "origin_city", "destination_city")
 
 
@@ -81,32 +81,54 @@ def latest_logistics(
     return dedup_latest(raw, [LOGISTICS_KEY], newest, tie_breakers)
 
 
-def refine_sales(
+@dataclass(frozen=True)
+class Refined:
+    """A cleaning plan in its two halves: the newest copies, and what is made of them."""
+
+    latest: DataFrame
+    dropped: Column  # which of them lack a required value
+    clean: Callable[[DataFrame], DataFrame]
+
+    def finish(self, latest: DataFrame) -> DataFrame:
+        """The trusted table from (observed) newest copies."""
+        return self.clean(latest.where(~self.dropped))
+
+    @property
+    def table(self) -> DataFrame:
+        return self.finish(self.latest)
+
+
+def _missing(columns: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(c).isNull() for c in columns])
+
+
+def plan_sales(
     raw: DataFrame,
     *,
     money: str = "double",
     tie_breakers: Sequence[Column | str] | None = None,
     blank_as_null: bool = False,
     as_of: datetime | None = None,
-) -> DataFrame:
+) -> Refined:
     """Trusted sales, one row per order.
 
     ``money`` is the type of amounts: ``double``, or a decimal such as
     ``decimal(18,2)`` whose sums do not depend on the order of addition.
     """
-    kept = require_not_null(latest_sales(raw, tie_breakers), SALES_REQUIRED)
-    typed = normalize_text(kept.withColumns(_sales_types(money)), SALES_TEXT)
-    filled = fill_defaults(typed, SALES_DEFAULTS, blank_as_null=blank_as_null)
-    net = clean.net_amount(
-        F.col("sales_amount"), F.col("discount"), exact=money.startswith("decimal")
-    )
-    if money != "double":
-        net = net.cast(money)
-    derived = calendar_parts(filled.withColumn("net_sales_amount", net), "order_date", "order")
-    return stamp_layer(derived, "silver", as_of)
 
+    def clean_rows(kept: DataFrame) -> DataFrame:
+        typed = normalize_text(kept.withColumns(_sales_types(money)), SALES_TEXT)
+        filled = fill_defaults(typed, SALES_DEFAULTS, blank_as_null=blank_as_null)
+        net = clean.net_amount(F.col("sales_amount"), F.col("discount"), exact=money.startswith("decimal"))
+        if money != "double":
+            net = net.cast(money)
+        derived = calendar_parts(filled.withColumn("net_sales_amount", net), "order_date", "order")
+        return stamp_layer(derived, "silver", as_of)
+
+    return Refined(latest_sales(raw, tie_breakers), _missing(SALES_REQUIRED), clean_rows)
 
-def refine_logistics(
+
+def plan_logistics(
     raw: DataFrame,
     *,
     money: str = "double",
@@ -114,20 +136,33 @@ def refine_logistics(
     tie_breakers: Sequence[Column | str] | None = None,
     max_days: int = clean.SLA_MAX_DAYS,
     as_of: datetime | None = None,
-) -> DataFrame:
+) -> Refined:
     """Trusted logistics, one row per shipment."""
-    kept = require_not_null(latest_logistics(raw, newest, tie_breakers), LOGISTICS_REQUIRED)
-    typed = normalize_text(kept.withColumns(_logistics_types(money)), LOGISTICS_TEXT)
-    dispatched, delivered = F.col("dispatch_date"), F.col("delivery_date")
-    days = clean.lead_days(dispatched, delivered)
-    derived = typed.withColumns(
-        {
-            "delivery_lead_time_days": days,
-            "delivered_on_time": clean.sla_flag(days, max_days),
-            "status": clean.override_when_null(F.col("status"), delivered),
-        }
-    )
-    return stamp_layer(derived, "silver", as_of)
+
+    def clean_rows(kept: DataFrame) -> DataFrame:
+        typed = normalize_text(kept.withColumns(_logistics_types(money)), LOGISTICS_TEXT)
+        dispatched, delivered = F.col("dispatch_date"), F.col("delivery_date")
+        days = clean.lead_days(dispatched, delivered)
+        derived = typed.withColumns(
+            {
+                "delivery_lead_time_days": days,
+                "delivered_on_time": clean.sla_flag(days, max_days),
+                "status": clean.override_when_null(F.col("status"), delivered),
+            }
+        )
+        return stamp_layer(derived, "silver", as_of)
+
+    return Refined(latest_logistics(raw, newest, tie_breakers), _missing(LOGISTICS_REQUIRED), clean_rows)
+
+
+def refine_sales(raw: DataFrame, **options: object) -> DataFrame:
+    """The trusted table of ``plan_sales``, which has the options."""
+    return plan_sales(raw, **options).table
+
+
+def refine_logistics(raw: DataFrame, **options: object) -> DataFrame:
+    """The trusted table of ``plan_logistics``, which has the options."""
+    return plan_logistics(raw, **options).table
 
 
 def rejected_sales(

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_scopes: list[list[str]] = []
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder path for one run, in the shared folder the session names.
@@ -23,4 +27,30 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-")
-    return f"{base.rstrip('/')}/{label}-{uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever file system holds it; none is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete, at the end, the scratch folders made inside.
+
+    For code that has written its result: a DataFrame that still reads such a folder
+    must not leave the scope.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            remove(spark, path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,14 +67,16 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
 
     Names match whatever their letter case, as they do in Spark.
     """
-    present = {c.lower(): c for c in df.columns}
-    return df.select(
-        *[
-            (F.col(f"`{present[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in present else F.lit(None).cast(f.dataType))
-            .alias(f.name)
-            for f in contract.fields
-        ]
-    )
+    present = {f.name.lower(): f for f in df.schema.fields}
+
+    def value(field: T.StructField) -> Column:
+        own = present.get(field.name.lower())
+        if own is None:
+            return F.lit(None).cast(field.dataType)
+        column = F.col(f"`{own.name}`")
+        return column if own.dataType == field.dataType else column.try_cast(field.dataType)
+
+    return df.select(*[value(f).alias(f.name) for f in contract.fields])
 
 
 @dataclass(frozen=True)
@@ -97,3 +99,7 @@ class LayerPaths:
 
     def gold(self, table: str) -> str:
         return self._at("gold", table)
+
+    def manifest(self, table: str) -> str:
+        """List of the raw files that a bronze table holds."""
+        return self._at("_manifest", table)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.audit import moment
 from strata.operators.ranges import order_codes, range_edges, range_id
+from strata.scratch import scratch_scope
 from strata.sources.readers import read_table
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -157,10 +158,11 @@ def zorder(
     """
     files = target_files or planned_files(spark, src, target_bytes)
     df, cols = _kept(spark, src, partition_cols, text_partitions)
-    keyed = with_z_value(_addressed(df), columns, "__z", bits)
-    placed = keyed.repartitionByRange(files, *cols, "__z", *_ADDRESS)
-    ordered = placed.sortWithinPartitions(*cols, "__z")
-    _write(ordered.drop("__z", *_ADDRESS), dst, cols)
+    with scratch_scope(spark):
+        keyed = with_z_value(_addressed(df), columns, "__z", bits)
+        placed = keyed.repartitionByRange(files, *cols, "__z", *_ADDRESS)
+        ordered = placed.sortWithinPartitions(*cols, "__z")
+        _write(ordered.drop("__z", *_ADDRESS), dst, cols)
 
 
 def orphan_files(
@@ -174,12 +176,15 @@ def orphan_files(
 ) -> DataFrame:
     """Files under ``root`` that ``live`` does not read and that are old enough.
 
-    ``live`` is the table as currently read, or a manifest with a ``path``
-    column. A listing only: nothing is deleted. Reading the live paths opens
-    footers, no data columns, and repeats of a path are combined per task.
+    ``live`` lists the files in use in a column ``path`` (a manifest, or
+    ``data_files`` of the version in use): two listings are anti-joined and no
+    table is read. Given the table as currently read instead, its files are
+    those that the plan's scans have listed. Nothing is deleted.
     """
-    path = F.col("path") if "path" in live.columns else F.col("_metadata.file_path")
-    used = live.select(path.alias("path")).distinct()
+    if "path" in live.columns:
+        used = live.select("path").distinct()
+    else:
+        used = spark.createDataFrame([(path,) for path in live.inputFiles()], "path string").distinct()
     age = F.unix_micros(moment(as_of)) - F.unix_micros("modified")
     old = age > F.lit(int(retention_hours * 3_600_000_000))
     return data_files(spark, root, glob).filter(old).join(used, "path", "left_anti")

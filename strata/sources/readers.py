@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from strata.sources.contracts import CORRUPT_COLUMN
+from strata.sources.contracts import CORRUPT_COLUMN, conform
 
 
 def _with_corrupt(contract: T.StructType, column: str | None) -> T.StructType:
@@ -55,8 +55,9 @@ def read_json_contract(
     """JSON under ``contract``; unreadable text lands in ``corrupt_column``.
 
     ``multi_line`` reads one document (an object or an array of objects) per
-    file, so a file is one task: large inputs should come as many files, or as
-    JSON Lines with ``multi_line=False``, which is splittable.
+    file, so a file is one task: large inputs should come as many files, as
+    JSON Lines with ``multi_line=False``, which is splittable, or through
+    ``read_json_array``, which splits an array.
     """
     reader = (
         spark.read.schema(_with_corrupt(contract, corrupt_column))
@@ -76,14 +77,18 @@ def read_table(
     schema: T.StructType | None = None,
     merge_schema: bool = True,
     text_partitions: Sequence[str] = (),
+    contract: T.StructType | None = None,
 ) -> DataFrame:
-    """Table stored at ``path``.
+    """Table stored at ``path``; with ``contract`` exactly its columns (see ``conform``).
 
     With ``schema`` no file is opened to infer one. Without it, Parquet footers
     are merged (``merge_schema``) so that columns added by later appends show
     up. ``text_partitions`` are partition columns to keep as text even when all
     their values look like numbers.
     """
+    if contract is not None:
+        options = {"schema": schema, "merge_schema": merge_schema, "text_partitions": text_partitions}
+        return conform(read_table(spark, path, fmt, **options), contract)
     reader = spark.read.format(fmt)
     if schema is None and fmt == "parquet":
         reader = reader.option("mergeSchema", merge_schema)

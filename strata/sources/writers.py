@@ -81,3 +81,17 @@ def skip_seen(df: DataFrame, existing: DataFrame, column: str = "_source_file")
     """Rows of ``df`` from files that ``existing`` does not hold yet."""
     seen = existing.select(column).distinct()
     return df.join(seen, on=column, how="left_anti")
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store ``df`` at ``path`` as table ``name``, dealt into ``buckets`` by ``keys`` and sorted; returns the table.
+
+    Tables with equal buckets on a join's keys are joined, and aggregated by these keys,
+    without a shuffle. The shuffle happens once, here: a task writes one bucket, sorted.
+    Files stay at ``path`` when the table is dropped from the catalogue.
+    """
+    spark = df.sparkSession
+    dealt = df.repartition(buckets, *(f"`{k}`" for k in keys))
+    writer = dealt.write.format("parquet").mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return spark.table(name)

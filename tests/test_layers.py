@@ -1,10 +1,11 @@
 from datetime import datetime
 from pathlib import Path
+from urllib.parse import unquote
 
 import pytest
 from pyspark import StorageLevel
 
-from strata.plans import kpi, run_bronze, run_gold, run_silver
+from strata.plans import kpi, layers, run_bronze, run_gold, run_silver
 from strata.plans.layers import read_silver
 from strata.sources import LayerPaths, append_table, read_table
 from strata.sources.contracts import LOGISTICS_COLUMNS, SALES_COLUMNS
@@ -45,7 +46,20 @@ def test_silver_gates_count_what_was_written(spark, built):
     paths, steps = built
     for table, gate in steps["silver"].items():
         assert read_silver(spark, paths, table).count() == gate["total"] > 0
-        assert gate["null_critical"] == 0 and gate["passed"] is True
+        assert gate["read"] == gate["duplicates"] + gate["rejected"] + gate["total"]
+        assert gate["read"] == read_table(spark, paths.bronze(table)).count()
+        assert gate["passed"] is True
+    sales = read_silver(spark, paths, "sales")
+    unreadable = sales.where("sales_amount is null or order_date is null").count()
+    assert steps["silver"]["sales"]["null_critical"] == unreadable > 0
+    assert steps["silver"]["sales"]["duplicates"] > 0 and steps["silver"]["sales"]["rejected"] > 0
+
+
+def test_a_gate_can_fail(spark, built):
+    paths, _ = built
+    gates = run_silver(spark, paths, max_null_pct=0.5, as_of=MONDAY)
+    assert gates["sales"]["passed"] is False and gates["logistics"]["passed"] is True
+    run_silver(spark, paths, as_of=MONDAY)
 
 
 def test_silver_keeps_bronze_audit_columns(spark, built):
@@ -74,7 +88,7 @@ def test_gold_tables_equal_their_plans(spark, built):
 def test_contract_columns_need_no_schema_merge(spark, built):
     paths, steps = built
     merged = {t: values(read_silver(spark, paths, t).select(*c)) for t, c in COMPARED.items()}
-    gates = run_silver(spark, paths, money="decimal(18,2)", merge_schema=False, as_of=MONDAY)
+    gates = run_silver(spark, paths, merge_schema=False, as_of=MONDAY)
     assert gates == steps["silver"]
     for table, columns in COMPARED.items():
         assert values(read_silver(spark, paths, table).select(*columns)) == merged[table]
@@ -100,6 +114,29 @@ def test_gold_runs_cached_too(spark, built):
     assert run_gold(spark, paths, cache_level=StorageLevel.MEMORY_AND_DISK) == steps["gold"]
 
 
+def test_a_rerun_scans_new_files_only(spark, folder, monkeypatch):
+    paths = LayerPaths(folder)
+    Path(f"{folder}/in {{a}}[1]").mkdir(parents=True)
+    header = ",".join(SALES_COLUMNS) + "\n"
+    one, two = (f"{folder}/in {{a}}[1]/{n}.csv" for n in ("one", "two"))
+    Path(one).write_text(header + "O1,2024-01-01,C,P,K,N,$1.00,1,0%,V\n")
+    Path(f"{folder}/in.json").write_text('[{"shipment_id": "S1", "order_id": "O1", "dispatch_date": "2024-01-01"}]')
+    scans = []
+    scan = layers.read_csv_contract
+    monkeypatch.setattr(layers, "read_csv_contract", lambda *a, **k: scans.append(scan(*a, **k)) or scans[-1])
+    inputs = (f"{folder}/in ?a?*", f"{folder}/in.json")
+    assert run_bronze(spark, paths, *inputs, only_new_files=True) == {"sales": 1, "logistics": 1}
+    Path(two).write_text(header + "O2,2024-01-01,C,P,K,N,$1.00,1,0%,V\nO3,2024-01-01,C,P,K,N,$1.00,1,0%,V\n")
+    assert run_bronze(spark, paths, *inputs, only_new_files=True) == {"sales": 2, "logistics": 0}
+    assert run_bronze(spark, paths, *inputs, only_new_files=True) == {"sales": 0, "logistics": 0}
+    assert [[unquote(f).rsplit("/", 1)[1] for f in df.inputFiles()] for df in scans] == [["one.csv"], ["two.csv"]]
+    assert read_table(spark, paths.bronze("sales")).count() == 3
+    listed = spark.read.parquet(paths.manifest("sales"))
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in listed.collect()) == ["one.csv", "two.csv"]
+    Path(one).write_text(header + "O1,2024-01-01,C,P,K,N,$2.00,1,0%,V\nO9,2024-01-01,C,P,K,N,$2.00,1,0%,V\n")
+    assert run_bronze(spark, paths, *inputs, only_new_files=True)["sales"] == 2  # a new version
+
+
 def test_reruns_append_unless_only_new_files(spark, folder):
     paths = LayerPaths(folder)
     Path(folder).mkdir(parents=True)

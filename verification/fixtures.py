@@ -7,10 +7,8 @@ expected clean values directly from the tables (``oracles.py``).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import datetime
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,28 +146,31 @@ def write_sales_csv(df: DataFrame, path: str) -> None:
     )
 
 
+#: Rows in a file of raw shipments.
+FILE_ROWS = 20_000
+
+
 def write_logistics_json(df: DataFrame, path: str) -> None:
     """Raw logistics as files that each hold one JSON array over many lines.
 
-    Tasks stream their rows into the array, one file per task. A file is read
-    back by one task, so rows are first spread over the session's tasks. The
-    helper is nested so that workers need not import this package.
+    The files are dealt by shipment; a file's rows, a bounded number, are gathered by one task.
     """
-
-    def array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = "["
-        for batch in batches:
-            lines = []
-            for line in batch.column(0).to_pylist():
-                lines.append(lead + line)
-                lead = ","
-            yield pa.RecordBatch.from_pydict({"value": lines}, batch.schema)
-        closing = "[]" if lead == "[" else "]"
-        yield pa.RecordBatch.from_pydict({"value": [closing]})
-
     rows = df.select(
         *[F.col(c) for c in LOGISTICS_COLUMNS if c != "freight_cost"],
         F.col("freight_cost").cast("double").alias("freight_cost"),
     )
-    lines = rows.repartition("shipment_id").select(F.to_json(F.struct("*")).alias("value"))
-    lines.mapInArrow(array_lines, "value string").write.text(path)
+    files = max(1, df.count() // FILE_ROWS)
+    lines = rows.select(F.pmod(F.xxhash64("shipment_id"), F.lit(files)).alias("part"), F.to_json(F.struct("*")).alias("line"))
+    arrays = lines.groupBy("part").agg(F.array_join(F.collect_list("line"), ",\n").alias("lines"))
+    arrays.select("part", F.concat(F.lit("["), "lines", F.lit("]")).alias("value")).write.partitionBy("part").text(path)
+
+
+def write_json_array(df: DataFrame, path: str) -> None:
+    """A record with the status ``first`` and all rows as one JSON array in a single file.
+
+    The one task that writes the file streams the rows; it holds none of them.
+    """
+    spark = df.sparkSession
+    line = F.concat(F.lit(", "), F.to_json(F.struct("*")))
+    ends = [spark.range(1).select(F.lit(text).alias("value")) for text in ('[ {"status": "first"}', "]")]
+    ends[0].union(df.select(line)).union(ends[1]).coalesce(1).write.text(path)

@@ -75,9 +75,9 @@ shipments AS (
 
 
 NEWEST = shipments("l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice")
-# In one ingestion batch no copy is newer: the raw text columns decide, nulls first.
+# Of two ingestion batches the current one is newer; then the raw text columns decide, nulls first.
 BY_TEXT = shipments(
-    "CAST(d + lead AS DATE) NULLS FIRST, l_suppkey % 5, "
+    "l_partkey % 2 DESC, CAST(d + lead AS DATE) NULLS FIRST, l_suppkey % 5, "
     "['são paulo', 'recife', 'manaus'][CAST(l_suppkey % 3 AS INTEGER) + 1], "
     "['goiânia', 'salvador'][CAST(l_partkey % 2 AS INTEGER) + 1], "
     "CAST(l_quantity * 7.25 AS VARCHAR), "
@@ -389,7 +389,8 @@ def _tables() -> dict[str, str]:
             """SELECT 'sales' AS source, order_id AS id,
                  CASE WHEN stale THEN '2024-01-01' ELSE '2024-01-02' END AS ingested,
                  'bronze' AS _layer, CAST(2024 AS INTEGER) AS _year FROM raw
-               UNION ALL SELECT 'logistics', shipment_id, '2024-01-01', 'bronze', 2024 FROM lines""",
+               UNION ALL SELECT 'logistics', shipment_id,
+                 CASE WHEN l_partkey % 2 = 0 THEN '2024-01-01' ELSE '2024-01-02' END, 'bronze', 2024 FROM lines""",
             ORDERS, RAW, LINES,
         ),
     }
@@ -490,12 +491,99 @@ def _plans() -> dict[str, str]:
     }
 
 
+VERSIONS = """
+first AS (
+  SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS day,
+    CAST(round(o_totalprice * 100) AS BIGINT) AS cents, 10 AS version FROM orders),
+changes AS (
+  SELECT k, CASE WHEN k % 97 = 1 THEN CAST(day + INTERVAL 2 MONTH AS DATE) ELSE day END AS day,
+    CASE WHEN k % 97 = 3 THEN cents ELSE 2 * cents END AS cents,
+    CASE k % 97 WHEN 0 THEN 5 WHEN 3 THEN 10 ELSE 11 END AS version FROM first WHERE k % 97 < 5),
+arrived AS (
+  SELECT * FROM first WHERE k % 97 <> 4 UNION ALL SELECT * FROM changes
+  UNION ALL SELECT k, day, 100, 12 FROM changes WHERE k % 97 = 1),
+newest AS (SELECT * FROM arrived QUALIFY row_number() OVER (PARTITION BY k ORDER BY version DESC) = 1)"""
+
+
+def _incremental() -> dict[str, str]:
+    clean, shipped = (ORDERS, SALES), (LINES, NEWEST)
+    kept = "k % 97 <> 0 AND k % 101 <> 0"
+    gates = f"""
+      SELECT 'sales' AS name, (SELECT count(*) FROM raw) AS read, count_if(stale) AS duplicates,
+        (SELECT count(*) FROM base WHERE NOT ({kept})) AS rejected,
+        count_if({kept} AND NOT stale) AS total,
+        count_if({kept} AND NOT stale AND (k % 103 = 0 OR k % 89 = 0)) AS null_critical,
+        count_if({kept} AND NOT stale AND (k % 103 = 0 OR k % 89 = 0))
+          <= 0.01 * count_if({kept} AND NOT stale) AS passed FROM raw
+      UNION ALL SELECT 'logistics', (SELECT count(*) FROM lines),
+        (SELECT count(*) FROM lines) - count(*), 0, count(*), 0, TRUE FROM shipments"""
+    gold_rows = " UNION ALL ".join(
+        f"SELECT '{t}' AS gold_table, count(*) AS n FROM ({q})"
+        for t, q in (
+            ("executive_summary", EXECUTIVE_SELECT), ("logistics_kpi", CARRIER_SELECT),
+            ("sales_by_category", CATEGORY_SELECT), ("sales_by_region", REGION_SELECT),
+        )
+    )
+    heavy = "CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE {} END"
+    return {
+        "pip_silver_gate": with_ctes(
+            f"SELECT name, CAST(read AS BIGINT) AS read, CAST(duplicates AS BIGINT) AS duplicates, CAST(rejected AS BIGINT) AS rejected,"
+            f" CAST(total AS BIGINT) AS total, CAST(null_critical AS BIGINT) AS null_critical, passed FROM ({gates})",
+            ORDERS, RAW, LINES, BY_TEXT,
+        ),
+        "pip_gold_region": with_ctes(REGION_SELECT, *clean),
+        "pip_gold_category": with_ctes(CATEGORY_SELECT, *clean),
+        "pip_gold_logistics": with_ctes(CARRIER_SELECT, *shipped),
+        "pip_gold_executive": with_ctes(EXECUTIVE_SELECT, *clean, *shipped, SHIPPING),
+        "kpi_refresh": with_ctes(REGION_SELECT, *clean),
+        "kpi_refresh_category": with_ctes(CATEGORY_SELECT, *clean),
+        "kpi_refresh_executive": with_ctes(EXECUTIVE_SELECT, *clean, *shipped, SHIPPING),
+        "kpi_executive_colocated": with_ctes(EXECUTIVE_SELECT, *clean, *shipped, SHIPPING),
+        "cch_gold_cached": with_ctes(gold_rows, *clean, *shipped, SHIPPING),
+        "prj_layer_stamp": """SELECT o_orderkey, 'silver' AS _layer, '2024-01-01 00:00:00' AS ingested,
+              '2024-01-02 00:00:00' AS refined FROM orders""",
+        "src_session": """SELECT o_orderkey,
+              strftime(epoch_ms(CAST(o_orderkey AS BIGINT) * 86400000 + 3600000), '%Y-%m-%d %H:%M') AS moment,
+              'UTC|true|true' AS settings FROM orders""",
+        "snk_upsert": f"""WITH {VERSIONS}
+            SELECT k, day, {money('cents')} AS price, version, CAST(year(day) AS INTEGER) AS order_year,
+              CAST(month(day) AS INTEGER) AS order_month FROM newest""",
+        "agg_distinct_sketch": with_ctes(
+            f"""SELECT region, order_year, {DISTINCT_CUSTOMERS} AS customers, TRUE AS in_band
+                FROM sales WHERE order_year IS NOT NULL GROUP BY ALL""",
+            *clean,
+        ),
+        "jon_heavy": f"""SELECT CAST(x.s_suppkey AS BIGINT) AS s_suppkey, l_orderkey, l_linenumber, s_name
+            FROM (SELECT *, {heavy.format('l_suppkey')} AS s_suppkey FROM lineitem) x LEFT JOIN supplier s ON x.s_suppkey = s.s_suppkey""",
+        "jon_heavy_salted": f"""SELECT CAST(x.p_partkey AS BIGINT) AS p_partkey, p_name, count(*) AS n
+            FROM (SELECT *, {heavy.format('l_partkey')} AS p_partkey FROM lineitem) x JOIN part p ON x.p_partkey = p.p_partkey
+            GROUP BY ALL""",
+        "mnt_skip_files": """SELECT l_orderkey, l_linenumber, l_partkey, TRUE AS complete, TRUE AS fewer FROM lineitem
+            WHERE l_partkey BETWEEN 1 AND 40 AND l_orderkey <= (SELECT min(l_orderkey) + (max(l_orderkey) - min(l_orderkey)) // 4 FROM lineitem)""",
+        "src_json_split": r"""SELECT CAST(c_custkey AS VARCHAR) AS shipment_id, concat('}"{,\[', c_name, chr(10), ']"') AS order_id,
+              c_mktsegment AS carrier, CAST(NULL AS VARCHAR) AS status, FALSE AS corrupt FROM customer
+            UNION ALL SELECT NULL, NULL, NULL, 'first', FALSE""",
+        "src_rescued": """SELECT CASE WHEN k % 13 <> 0 AND k % 5 <> 0 THEN CAST(k AS VARCHAR) END AS shipment_id,
+              CASE WHEN k % 13 <> 0 AND k % 3 <> 2 THEN c_name END AS carrier, CAST(NULL AS VARCHAR) AS status,
+              CASE WHEN k % 13 <> 0 AND (k % 11 = 0 OR k % 7 = 0) THEN concat('{',
+                concat_ws(',', CASE WHEN k % 11 = 0 THEN concat('"segment":"', c_mktsegment, '"') END,
+                  CASE WHEN k % 7 = 0 THEN '"status":{"x":1}' END), '}') END AS rescued,
+              CASE WHEN k % 13 = 0 THEN concat('{broken ', CAST(k AS VARCHAR)) END AS _corrupt_record
+            FROM (SELECT *, c_custkey AS k FROM customer)""",
+        "src_conform": """SELECT o_orderkey, o_orderstatus, TRY_CAST(o_orderpriority AS INTEGER) AS o_orderpriority,
+              CAST(NULL AS VARCHAR) AS o_note FROM orders""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
+    quality = _quality()
     return {
         **_scalars(),
         **_filters_and_joins(),
         **_windows(),
-        **_quality(),
+        **quality,
+        "pip_silver_rejected": quality["dq_rejected"],
         **_tables(),
         **_plans(),
+        **_incremental(),
     }

@@ -4,23 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from uuid import uuid4
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata import functions as fn
 from strata import operators as op
-from strata.operators import quality
-from strata.plans import kpi, layers, refine
-from strata.sources import contracts, maintenance, readers, writers
+from strata.operators import heavy, quality
+from strata.plans import kpi, layers, refine, state
 from strata.scratch import scratch_dir
+from strata.session import get_session
+from strata.sources import contracts, json_split, maintenance, partitions, readers, rescued, skipping, upsert, writers
 from verification import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 EXACT = refine.EXACT_MONEY
 LATER = timedelta(days=30)
+FILE_BYTES = 1024 * 1024
 
+GATE = ("read", "duplicates", "rejected", "total", "null_critical", "passed")
 SALES_OUT = (
     "order_id", "order_date", "customer_id", "product_category", "region", "sales_amount",
     "quantity", "discount", "net_sales_amount", "order_year", "order_month", "order_quarter",
@@ -243,7 +249,8 @@ def win_rank_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linestatus", F.col("l_extendedprice").alias("price")
     )
-    return op.rank_within(lines, "price", ["l_linestatus"], "place", spread=64)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return op.rank_within(lines, "price", ["l_linestatus"], "place", spread=tasks)
 
 
 def win_mom_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,19 +353,19 @@ def _stored_lines(spark: SparkSession, sf_dir: str, label: str) -> str:
     lines = fx.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice", "l_returnflag"
     )
-    writers.append_table(lines.repartition(16), path, partition_cols=["l_returnflag"])
+    writers.append_table(lines, path, partition_cols=["l_returnflag"])
     return path
 
 
 def mnt_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, dst = _stored_lines(spark, sf_dir, "compact-src"), scratch_dir(spark, "compact-dst")
-    maintenance.compact(spark, src, dst, target_files=4, partition_cols=["l_returnflag"])
+    maintenance.compact(spark, src, dst, target_bytes=FILE_BYTES, partition_cols=["l_returnflag"])
     return readers.read_table(spark, dst)
 
 
 def mnt_zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, dst = _stored_lines(spark, sf_dir, "zorder-src"), scratch_dir(spark, "zorder-dst")
-    maintenance.zorder(spark, src, dst, ["l_partkey", "l_shipdate", "l_returnflag"], target_files=8)
+    maintenance.zorder(spark, src, dst, ["l_partkey", "l_shipdate", "l_returnflag"], target_bytes=FILE_BYTES)
     return readers.read_table(spark, dst)
 
 
@@ -371,7 +378,7 @@ def mnt_orphan_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             orders.withColumn("version", F.lit(version)), f"{root}/{version}",
             partition_cols=["o_orderstatus"],
         )
-    live = readers.read_table(spark, f"{root}/v2")
+    live = maintenance.data_files(spark, f"{root}/v2")
     orphans = maintenance.orphan_files(spark, root, live, as_of=datetime.now() + LATER)
     stored = spark.read.option("recursiveFileLookup", True).parquet(root)
     held = stored.select("version", F.col("_metadata.file_path").alias("path"))
@@ -421,16 +428,15 @@ def kpi_executive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_bronze(spark: SparkSession, sf_dir: str) -> contracts.LayerPaths:
-    """Two ingestions: a stale sales file, then the current one; logistics once."""
+    """Three ingestions of the same two folders: stale files, current ones beside them, nothing new."""
     paths = contracts.LayerPaths(scratch_dir(spark, "layers"))
-    sales = fx.sales_raw(spark, sf_dir)
-    fx.write_logistics_json(fx.logistics_raw(spark, sf_dir), paths.raw("logistics"))
-    for name, batch in (("stale", fx.STALE_BATCH), ("current", fx.CURRENT_BATCH)):
-        csv = paths.raw(f"sales_{name}")
-        fx.write_sales_csv(sales.filter(F.col("_ingestion_timestamp") == F.lit(batch)), csv)
-        layers.run_bronze(
-            spark, paths, csv, paths.raw("logistics"), only_new_files=True, as_of=batch
-        )
+    sales, shipments = fx.sales_raw(spark, sf_dir), fx.logistics_raw(spark, sf_dir)
+    stale = F.col("_tb1") % 2 == 0  # by part number
+    for name, batch, rows in (("stale", fx.STALE_BATCH, stale), ("current", fx.CURRENT_BATCH, ~stale), ("again", fx.CURRENT_BATCH, None)):
+        if rows is not None:
+            fx.write_sales_csv(sales.filter(F.col("_ingestion_timestamp") == F.lit(batch)), f"{paths.raw('sales')}/{name}")
+            fx.write_logistics_json(shipments.filter(rows), f"{paths.raw('logistics')}/{name}")
+        layers.run_bronze(spark, paths, paths.raw("sales"), paths.raw("logistics"), only_new_files=True, as_of=batch)
     return paths
 
 
@@ -450,17 +456,34 @@ def pip_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pip_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _run_bronze(spark, sf_dir)
-    layers.run_silver(spark, paths, money=EXACT)
+    layers.run_silver(spark, paths)
     return plain(layers.read_silver(spark, paths, "sales"), *SALES_OUT)
 
 
 def pip_silver_logistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest of two ingestions wins, then the raw text."""
     paths = _run_bronze(spark, sf_dir)
-    layers.run_silver(spark, paths, money=EXACT)
+    layers.run_silver(spark, paths)
     return plain(layers.read_silver(spark, paths, "logistics"), *LOGISTICS_OUT)
 
 
-def _run_gold(spark: SparkSession, sf_dir: str) -> contracts.LayerPaths:
+def pip_silver_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures and gates of a silver run: one within its limit, one not."""
+    paths = _run_bronze(spark, sf_dir)
+    gates = layers.run_silver(spark, paths, max_null_pct=1.0)
+    rows = [(name, *(gate[c] for c in GATE)) for name, gate in gates.items()]
+    return spark.createDataFrame(rows, "name string, read long, duplicates long, rejected long, total long, null_critical long, passed boolean")
+
+
+def pip_silver_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the silver run drops or blanks of bronze, with the reasons."""
+    paths = _run_bronze(spark, sf_dir)
+    raw = readers.read_table(spark, paths.bronze("sales"), schema=contracts.bronze_schema(contracts.SALES_CONTRACT))
+    bad = refine.rejected_sales(raw, money=EXACT)
+    return bad.select("order_id", F.array_join("_reject_reasons", ",").alias("reasons"))
+
+
+def _stored_silver(spark: SparkSession, sf_dir: str) -> contracts.LayerPaths:
     paths = contracts.LayerPaths(scratch_dir(spark, "layers"))
     parts = layers.SALES_PARTITIONS
     writers.overwrite_table(clean_sales(spark, sf_dir), paths.silver("sales"), partition_cols=parts)
@@ -468,7 +491,13 @@ def _run_gold(spark: SparkSession, sf_dir: str) -> contracts.LayerPaths:
         clean_logistics(spark, sf_dir),
         paths.silver("logistics"),
         partition_cols=layers.LOGISTICS_PARTITIONS,
+        distribute=False,
     )
+    return paths
+
+
+def _run_gold(spark: SparkSession, sf_dir: str) -> contracts.LayerPaths:
+    paths = _stored_silver(spark, sf_dir)
     layers.run_gold(spark, paths)
     return paths
 
@@ -508,6 +537,221 @@ def pip_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _gold(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    paths = _run_gold(spark, sf_dir)
+    return plain(readers.read_table(spark, paths.gold(table), text_partitions=["status"]))
+
+
+def pip_gold_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold(spark, sf_dir, "sales_by_region")
+
+
+def pip_gold_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold(spark, sf_dir, "sales_by_category")
+
+
+def pip_gold_logistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold(spark, sf_dir, "logistics_kpi")
+
+
+def pip_gold_executive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold(spark, sf_dir, "executive_summary")
+
+
+def cch_gold_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold run on cached sales: rows of each table."""
+    paths = _stored_silver(spark, sf_dir)
+    counts = layers.run_gold(spark, paths, cache_level=StorageLevel.MEMORY_AND_DISK)
+    return spark.createDataFrame(sorted(counts.items()), "gold_table string, n long")
+
+
+def prj_layer_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit columns after a second layer has stamped the rows, in the session's time zone."""
+    bronze = op.with_audit(fx.table(spark, sf_dir, "orders"), "bronze", fx.STALE_BATCH)
+    silver = op.stamp_layer(bronze, "silver", fx.CURRENT_BATCH)
+    stamp = "yyyy-MM-dd HH:mm:ss"
+    return silver.select(
+        "o_orderkey", "_layer",
+        F.date_format("_ingestion_timestamp", stamp).alias("ingested"),
+        F.date_format("_silver_timestamp", stamp).alias("refined"),
+    )
+
+
+def src_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the session factory gives: settings, and a moment of each order in the session's time zone."""
+    session = get_session("strata-check")
+    names = ["spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"]
+    settings = "|".join(session.conf.get(n) for n in names)
+    orders = fx.table(session, sf_dir, "orders")
+    moment = F.timestamp_seconds(F.col("o_orderkey") * 86_400 + 3_600)
+    return orders.select("o_orderkey", F.date_format(moment, "yyyy-MM-dd HH:mm").alias("moment"), F.lit(settings).alias("settings"))
+
+
+# Incremental tables and joins
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as first stored, and later changes: late, moved, repeated and new ones."""
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    orders = fx.table(spark, sf_dir, "orders").select(k.alias("k"), day.alias("day"), F.col("o_totalprice").cast(EXACT).alias("price"), F.lit(10).alias("version"))
+    dated = orders.select("*", F.year("day").alias("order_year"), F.month("day").alias("order_month"))
+    first = dated.where("k % 97 <> 4")
+    kind = F.col("k") % 97
+    moved = dated.where("k % 97 < 5").select(
+        "k",
+        F.when(kind == 1, F.add_months("day", 2)).otherwise(F.col("day")).alias("day"),
+        F.when(kind == 3, F.col("price")).otherwise(F.col("price") * 2).cast(EXACT).alias("price"),
+        F.when(kind == 0, 5).when(kind == 3, 10).otherwise(11).alias("version"),
+    )
+    twice = moved.unionByName(moved.where("k % 97 = 1").withColumn("version", F.lit(12)).withColumn("price", F.lit(1).cast(EXACT)))
+    return first, twice.select("*", F.year("day").alias("order_year"), F.month("day").alias("order_month"))
+
+
+def snk_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table after an upsert of late, moved, repeated and new orders, half of them at a time."""
+    path = scratch_dir(spark, "upsert")
+    first, changes = _versions(spark, sf_dir)
+    writers.overwrite_table(first, path, partition_cols=layers.SALES_PARTITIONS)
+    for half in ("k % 2 = 0", "k % 2 = 1"):
+        upsert.upsert_latest(spark, changes.where(half), path, ["k"], "version", layers.SALES_PARTITIONS)
+    return plain(readers.read_table(spark, path))
+
+
+def _kpi_refreshed(spark: SparkSession, sf_dir: str) -> contracts.LayerPaths:
+    """The state of silver without and then with a sixth of its months' orders."""
+    paths = contracts.LayerPaths(scratch_dir(spark, "state"))
+    parts = layers.SALES_PARTITIONS
+    sales = clean_sales(spark, sf_dir)
+    changed = F.coalesce(F.col("order_month") % 6 == 1, F.lit(False))
+    writers.overwrite_table(
+        clean_logistics(spark, sf_dir), paths.silver("logistics"), partition_cols=layers.LOGISTICS_PARTITIONS, distribute=False
+    )
+    writers.overwrite_table(sales.where(~changed | (F.col("quantity") > 5)), paths.silver("sales"), partition_cols=parts)
+    state.refresh_state(spark, paths)
+    months = [m for m in partitions.partitions_of(sales, parts) if m[1] is not None and m[1] % 6 == 1]
+    partitions.replace_partitions(sales.where(changed), paths.silver("sales"), parts, months)
+    state.refresh_state(spark, paths, months)
+    return paths
+
+
+def kpi_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(state.sales_by_region(spark, _kpi_refreshed(spark, sf_dir)))
+
+
+def kpi_refresh_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(state.sales_by_category(spark, _kpi_refreshed(spark, sf_dir)))
+
+
+def kpi_refresh_executive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(state.executive_summary(spark, _kpi_refreshed(spark, sf_dir)))
+
+
+def agg_distinct_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct customers by year and region; are those of merged monthly sketches within 5 %."""
+    sales = clean_sales(spark, sf_dir).where("order_year is not null")
+    months = sales.groupBy("region", "order_year", "order_month").agg(
+        fn.distinct("customer_id").alias("exact"), fn.distinct_sketch("customer_id").alias("sketch")
+    )
+    merged = months.groupBy("region", "order_year").agg(fn.merged_distinct("sketch").alias("estimate"))
+    whole = sales.groupBy("region", "order_year").agg(fn.distinct("customer_id").alias("customers"))
+    close = F.abs(F.col("estimate") - F.col("customers")) <= F.greatest(F.lit(1.0), F.col("customers") * 0.05)
+    return whole.join(merged, ["region", "order_year"]).select("region", "order_year", "customers", close.alias("in_band"))
+
+
+def jon_heavy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of which half belong to one supplier, with the supplier's parts (broadcast) summed."""
+    lines = fx.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 2 == 0, 1).otherwise(F.col("l_suppkey")).cast("long").alias("s_suppkey")
+    )
+    suppliers = fx.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return heavy.join_heavy(lines, suppliers, "s_suppkey")
+
+
+def jon_heavy_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a side that is too large to be broadcast."""
+    lines = fx.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.when(F.col("l_orderkey") % 2 == 0, 1).otherwise(F.col("l_partkey")).cast("long").alias("p_partkey")
+    )
+    parts = fx.table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    joined = heavy.join_heavy(lines, parts, "p_partkey", "inner", heavy.Heavy(broadcast_bytes=0))
+    return joined.groupBy("p_partkey", "p_name").agg(F.count("*").alias("n"))
+
+
+def kpi_executive_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The executive summary of silver tables that are bucketed by order."""
+    name = f"t{uuid4().hex}"
+    tables = {"sales": clean_sales(spark, sf_dir), "logistics": clean_logistics(spark, sf_dir)}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = {t: writers.write_bucketed(df, f"{name}_{t}", scratch_dir(spark, f"bucketed-{t}"), ["order_id"], buckets) for t, df in tables.items()}
+    return plain(kpi.executive_summary(stored["sales"], stored["logistics"], one_row_per_order=True))
+
+
+def mnt_skip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a two-column range read through file statistics, and whether these left out files rightly."""
+    src, dst, stats = _stored_lines(spark, sf_dir, "skip-src"), scratch_dir(spark, "skip-dst"), scratch_dir(spark, "skip-stats")
+    maintenance.zorder(spark, src, dst, ["l_partkey", "l_orderkey"], target_bytes=64 * 1024, partition_cols=())
+    skipping.write_file_stats(spark, dst, ["l_partkey", "l_orderkey"], stats)
+    first, last = spark.read.parquet(dst).agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    ranges = {"l_partkey": (1, 40), "l_orderkey": (first, first + (last - first) // 4)}
+    rows = skipping.read_ranges(spark, dst, stats, ranges)
+    inside = F.col("l_partkey").between(*ranges["l_partkey"]) & F.col("l_orderkey").between(*ranges["l_orderkey"])
+    held = spark.read.parquet(dst).where(inside).select(F.col("_metadata.file_path").alias("file")).distinct()
+    kept = skipping.kept_files(spark, stats, ranges)
+    lost = held.select(F.url_decode("file").alias("path")).join(kept, "path", "left_anti").count()
+    fewer = kept.count() < spark.read.parquet(stats).count() or kept.count() <= 1
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.lit(lost == 0).alias("complete"), F.lit(fewer).alias("fewer"))
+
+
+def src_json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON array in a single file, read by several tasks."""
+    path = scratch_dir(spark, "json-array")
+    customers = fx.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("shipment_id"),
+        F.concat(F.lit('}"{,\\['), "c_name", F.lit('\n]"')).alias("order_id"),
+        F.col("c_mktsegment").alias("carrier"),
+        F.struct(F.lit("}").alias("a"), F.array(F.lit('"')).alias("b")).alias("more"),
+    )
+    fx.write_json_array(customers, path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        raw = json_split.read_json_array(spark, path, contracts.LOGISTICS_CONTRACT)
+        out = scratch_dir(spark, "json-read")
+        raw.write.parquet(out)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    corrupt = F.col("_corrupt_record").isNotNull().alias("corrupt")
+    return spark.read.parquet(out).select("shipment_id", "order_id", "carrier", "status", corrupt)
+
+
+def src_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with extra, missing and renamed fields, values of another shape, and broken text."""
+    path = scratch_dir(spark, "rescued")
+    k = F.col("c_custkey")
+    record = F.to_json(
+        F.struct(
+            F.when(k % 5 != 0, k.cast("string")).alias("shipment_id"),
+            F.when(k % 3 == 0, F.col("c_name")).alias("CARRIER"),
+            F.when(k % 3 == 1, F.col("c_name")).alias("haulier"),
+            F.when(k % 7 == 0, F.struct(F.lit(1).alias("x"))).alias("status"),
+            F.when(k % 11 == 0, F.col("c_mktsegment")).alias("segment"),
+        )
+    )
+    text = F.when(k % 13 == 0, F.concat(F.lit("{broken "), k.cast("string"))).otherwise(record)
+    fx.table(spark, sf_dir, "customer").select(text.alias("value")).write.text(path)
+    raw = rescued.read_json_rescued(spark, path, contracts.LOGISTICS_CONTRACT, renamed={"haulier": "carrier"})
+    return raw.select("shipment_id", "carrier", "status", F.to_json(rescued.RESCUED).alias("rescued"), "_corrupt_record")
+
+
+def src_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table under a contract: cast, renamed by case, completed, in order."""
+    path = scratch_dir(spark, "conform")
+    orders = fx.table(spark, sf_dir, "orders")
+    orders.select("o_orderpriority", F.col("o_orderkey").cast("string").alias("O_ORDERKEY"), "o_orderstatus").write.parquet(path)
+    contract = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderstatus", T.StringType()), T.StructField("o_orderpriority", T.IntegerType()), T.StructField("o_note", T.StringType())])
+    return readers.read_table(spark, path, contract=contract)
+
+
 ALL: tuple[Query, ...] = (
     scl_parse_money, scl_parse_percent, scl_parse_int, scl_parse_date, scl_normalize_text,
     scl_fill_defaults, scl_net_amount, scl_calendar, scl_lead_days, scl_sla_flag,
@@ -521,6 +765,10 @@ ALL: tuple[Query, ...] = (
     mnt_compact, mnt_zorder, mnt_orphan_files, prj_audit,
     pip_sales_clean, pip_logistics_clean, pip_bronze, pip_silver, pip_silver_logistics, pip_gold,
     kpi_sales_by_region, kpi_sales_by_category, kpi_logistics, kpi_executive_summary,
+    pip_silver_gate, pip_silver_rejected, pip_gold_region, pip_gold_category, pip_gold_logistics,
+    pip_gold_executive, cch_gold_cached, prj_layer_stamp, src_session, snk_upsert,
+    kpi_refresh, kpi_refresh_category, kpi_refresh_executive, agg_distinct_sketch, jon_heavy,
+    jon_heavy_salted, kpi_executive_colocated, mnt_skip_files, src_json_split, src_rescued, src_conform,
 )
 
 

@@ -7,20 +7,27 @@ entropy of these (presentation and content), scaled to 0..1 by the number of pag
 navigation that is the same on every page has 0, prose of its own on each page 1; so has a node of a single page.
 Branches below ``min_importance`` are removed from each page of the host.
 
-Two guards keep the tree from guessing where markup is plain: what the tags, roles or
-class names call menus, headers, footers, sidebars, notices, adverts, forms, scripts
-or comments is always removed; inside ``article`` or ``main`` nothing else is.
-A branch counts as shared only if it stands on at least ``min_pages`` pages and on
-``min_share`` of its host's, so a host has at most (nodes of a page) / ``min_share``
-such branches, however many pages it has.
+The tree judges first: every block outside the article is one of its nodes, also those that
+their markup names. What it does not find unimportant is then judged by that markup: tags,
+roles and class names that say menu, header, footer, sidebar, notice, advert, form, script or
+comments (``DROPPED`` and the lists below it). A class or id counts as a whole, or by its last
+word if no word of it speaks of a layout ("with-sidebar" is no sidebar). Inside ``article``
+or ``main`` nothing is removed but scripts, forms, menus, asides, footers, adverts, notices
+and comments; and neither tree nor class names remove an element that holds one of these.
+A branch counts as shared only if it stands on ``min_pages`` pages and on ``min_share`` of
+its host's, so a host has at most (nodes of a page) / ``min_share`` such branches, however
+many pages it has.
 
 Pass one sends the nodes of each page, once for all its copies by a digest of the html,
 and counts them with map-side combine on (host, node, content); no page leaves its task. Pass two reads the pages again next to their host's branches: a broadcast while
 these are measured to be few, a skew-tolerant join beyond.
 
 Defined cases: null or empty html gives an empty text; a page without url is of the
-host ""; markup may be unclosed or nested wrongly; repeated rows are extracted alike
-and count as one page of their host, as do equal pages of other urls; an empty table gives an empty result; other columns are not read.
+host ""; markup may be unclosed or nested wrongly, and a "<" that starts no tag is text;
+repeated rows are extracted alike and count as one page of their host, as do equal pages of
+other urls; a page's markup is read once from front to end, so long pages take time in
+proportion; an empty table gives an empty result; other columns, whatever their names, are
+not read.
 """
 
 from __future__ import annotations
@@ -42,7 +49,7 @@ from strata.llm.common import map_batches, map_rows, pieces, stored, word_hash
 @dataclass(frozen=True)
 class Settings:
     min_importance: float = 0.3
-    min_pages: int = 5
+    min_pages: int = 2
     min_share: float = 0.3
     broadcast_bytes: int = 32 * 1024 * 1024
 
@@ -56,19 +63,21 @@ BLOCK = frozenset(
     "tbody td tfoot th thead tr ul caption".split()
 )
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-DROPPED = frozenset(
-    "script style head title template noscript iframe object svg math canvas audio video nav header footer aside form button select "
-    "input textarea label fieldset menu dialog search xmp noembed noframes".split()
-)
+SILENT = frozenset("script style head title template noscript iframe object svg canvas audio video xmp noembed noframes textarea select".split())
+DROPPED = SILENT | frozenset("nav header footer aside form button input label fieldset menu dialog search".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
-#: Words of class names and ids that name what is no article.
-DROPPED_NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted nav navbar navigation menu "
-    "menus breadcrumb breadcrumbs sidebar sidebars aside header masthead topbar footer bottom colophon cookie cookies consent gdpr notice "
-    "notices alert popup modal overlay newsletter subscribe subscription signup login register comment comments commentlist respond disqus "
-    "reply replies share sharing social related recommended recommendations widget widgets pagination pager skip search form copyright legal "
-    "disclaimer toc tags metadata byline".split()
+#: Names of what may stand inside an article and is no part of it. Other people's
+#: words are among them; an article element inside these is not the article.
+OTHERS = frozenset("comment comments commentlist respond disqus reply replies related recommended recommendations".split())
+INSERTED = OTHERS | frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted nav navbar navigation menu menus "
+    "breadcrumb breadcrumbs sidebar sidebars aside cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
+    "subscription signup login share sharing pagination pager".split()
 )
+#: Further names outside an article.
+DROPPED_NAMES = INSERTED | frozenset("banner header masthead topbar footer bottom colophon register social widget widgets skip search form copyright legal disclaimer".split())
+#: Words that make a name speak of a layout, or of something's absence.
+LAYOUT = frozenset("with without has have no not is layout wrap wrapper container main content page body article post entry site grid row column col section".split())
 #: Start tags that end an open element of the same group.
 ENDS = {
     **{t: frozenset({t}) for t in ("li", "option", "tr", "thead", "tbody", "tfoot")},
@@ -78,11 +87,18 @@ ENDS = {
 #: What stops the search for an element to end.
 SCOPES = frozenset("table ul ol dl select html body article main section div td th".split())
 
+#: A comment or declaration, or a tag whose attributes are well formed.
 TAG = re.compile(
-    r"""<(?:!--(?:>|->|.*?(?:--!?>|\Z))|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|/?[a-zA-Z][^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>)""", re.S
+    r"""<(?:!--(?:>|->|.*?(?:--!?>|\Z))|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*+(?:>|\Z)"""
+    r"""|/?[a-zA-Z][^\s/<>]*+(?:\s++[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'<>=`]++))?+)*+\s*+/?>)""",
+    re.S,
 )
+START = re.compile(r"</?[a-zA-Z]|<[!?]")
+#: Where another tag ends: quoted values are stepped over; a new "<" says that it was none.
+STOP = re.compile(r"""=\s*+(?:"[^"]*+"|'[^']*+')|[<>]""")
 PARTS = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)(.*)>", re.S)
-ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+USED = frozenset("class id role hidden aria-hidden style".split())
 NAME = re.compile(r"[a-zA-Z]+")
 SPACE = re.compile(r"[\s\x00]+")
 
@@ -90,10 +106,10 @@ SPACE = re.compile(r"[\s\x00]+")
 class Node:
     """An open element: its tag, its node of the style tree, and what is known of it."""
 
-    __slots__ = ("tag", "path", "kept", "safe", "holds", "text", "children")
+    __slots__ = ("tag", "path", "kept", "final", "safe", "holds", "text", "children")
 
-    def __init__(self, tag: str, path: int, kept: bool, safe: bool):
-        self.tag, self.path, self.kept, self.safe = tag, path, kept, safe
+    def __init__(self, tag: str, path: int, kept: bool, final: bool, safe: bool):
+        self.tag, self.path, self.kept, self.final, self.safe = tag, path, kept, final, safe
         self.holds = safe or tag in ("html", "body")  # itself or something in it is always kept
         self.text, self.children = 0, 0
 
@@ -101,24 +117,43 @@ class Node:
 def _attributes(text: str) -> dict[str, str]:
     out: dict[str, str] = {}
     for name, value in ATTRIBUTE.findall(text):
-        out.setdefault(name.lower(), entities.unescape(value.strip("\"'")))
+        name = name.lower()
+        if name in USED and name not in out:
+            out[name] = entities.unescape(value[1:-1] if value[:1] in ("'", '"') else value)
     return out
 
 
-def _is_noise(tag: str, found: dict[str, str]) -> bool:
-    if tag in DROPPED or found.get("role", "").lower() in DROPPED_ROLES:
-        return True
-    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
-        return True
-    if tag in ("html", "body", "article", "main"):
-        return False
-    for name in SPACE.split(f"{found.get('class', '')} {found.get('id', '')}"):
-        words = [w.lower() for w in NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name))]
-        if not DROPPED_NAMES.isdisjoint(words):
+def _named(found: dict[str, str], names: frozenset[str]) -> bool:
+    """Whether a class or the id is one of ``names``, or ends in one and speaks of no layout."""
+    for token in SPACE.split(f"{found.get('class', '')} {found.get('id', '')}"):
+        words = [w.lower() for w in NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", token))]
+        if token.lower() in names or words and words[-1] in names and LAYOUT.isdisjoint(words):
             return True
     return False
 
 
+#: How an element is judged by its markup: not part of the page's text, not the article's
+#: whatever it holds, no part of an article it stands in, none if it stands outside.
+NONE, OUTSIDE, INSIDE, FINAL, SILENCED = range(5)
+
+
+def _judged(tag: str, found: dict[str, str]) -> int:
+    role = found.get("role", "").lower()
+    if tag in SILENT or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
+        return SILENCED
+    if tag in ("html", "body", "main"):
+        return NONE
+    if _named(found, OTHERS):
+        return FINAL
+    if tag == "article":
+        return NONE
+    if tag in DROPPED or role in DROPPED_ROLES:
+        return OUTSIDE if tag == "header" or role == "banner" else FINAL  # an article has a header of its own
+    if _named(found, INSERTED):
+        return INSIDE
+    return OUTSIDE if _named(found, DROPPED_NAMES) else NONE
+
+
 class Tags(dict):
     """What a piece of markup says: whether it ends, its tag, label, kind; remembered."""
 
@@ -127,12 +162,12 @@ class Tags(dict):
             self.clear()
         found = PARTS.fullmatch(markup)
         if not found:
-            value = (False, "", 0, False, False, False)
+            value = (False, "", 0, False, NONE, False)
         else:
             tag, marks = found[2].lower(), _attributes(found[3])
             label = word_hash(f"{tag} {marks.get('class', '')} {marks.get('id', '')}" if marks else tag)
             main = tag in ("article", "main") or marks.get("role", "").lower() in ("main", "article")
-            value = (bool(found[1]), tag, label, main, _is_noise(tag, marks), found[3].endswith("/"))
+            value = (bool(found[1]), tag, label, main, _judged(tag, marks), found[3].endswith("/"))
         self[markup] = value
         return value
 
@@ -140,17 +175,38 @@ class Tags(dict):
 TAGS = Tags()
 
 
-def walk(page: str | None, branches: frozenset[int] = frozenset(), texts: bool = True) -> tuple[list[str], dict[int, list[int]]]:
-    """Text blocks of a page, and for each undecided node its path, content and children.
+def next_tag(source: str, at: int) -> tuple[int, int]:
+    """Where the next tag, comment or declaration begins and ends; the end of the text if there is none."""
+    while found := START.search(source, at):
+        start = found.start()
+        if whole := TAG.match(source, start):
+            return start, whole.end()
+        at = found.end()
+        while stop := STOP.search(source, at):
+            at = stop.end()
+            if stop[0] == ">":
+                return start, at
+            if stop[0] == "<":
+                at -= 1
+                break
+        else:
+            break
+    return len(source), len(source)
+
+
+def walk(page: str | None, branches: frozenset[int] = frozenset(), judge: bool = False) -> tuple[list[str], dict[int, list[int]], list[int]]:
+    """Text blocks of a page; for each node outside an article its path, content and children; removals.
 
-    ``branches`` are nodes of the style tree whose subtrees are left out; without
-    ``texts`` no blocks are made.
+    ``branches`` are nodes of the style tree whose subtrees are left out. To ``judge`` is to
+    gather nodes for the tree: then nothing is left out for its name, and no blocks are made.
+    Removals are how many branches the tree took, and how many the markup's names took.
     """
     source = page or ""
     blocks: list[str] = []
     open_text: list[str] = []
     nodes: dict[int, list[int]] = {}
-    stack = [Node("", 0, True, False)]
+    removed = [0, 0]
+    stack = [Node("", 0, True, False, False)]
 
     def flush() -> None:
         if open_text:
@@ -176,20 +232,19 @@ def walk(page: str | None, branches: frozenset[int] = frozenset(), texts: bool =
     def say(text: str) -> None:
         node = stack[-1]
         if text and node.kept:
-            if texts:
+            if not judge:
                 open_text.append(text)
             if not node.safe and not text.isspace():
                 node.text = (node.text * 31 + (word_hash(text) >> 1)) & 0x7FFFFFFFFFFFFFFF
 
     at, size = 0, len(source)
     while at < size:
-        found = TAG.search(source, at)
-        if not found:
-            say(source[at:])
+        start, end = next_tag(source, at)
+        say(source[at:start])
+        at = end
+        if start == end:
             break
-        say(source[at : found.start()])
-        at = found.end()
-        ends_here, tag, label, main, noise, empty = TAGS[found[0]]
+        ends_here, tag, label, main, judged, empty = TAGS[source[start:end]]
         if not tag:
             continue
         if ends_here:
@@ -223,9 +278,15 @@ def walk(page: str | None, branches: frozenset[int] = frozenset(), texts: bool =
                 close()
         parent = stack[-1]
         path = (parent.path * 1000003 ^ label) & 0x7FFFFFFFFFFFFFFF
+        final = parent.final or judged == SILENCED or judged == FINAL and not judge
+        main = main and not final
         safe = parent.safe or main
-        kept = parent.kept and not noise and (safe or path not in branches)
-        stack.append(Node(tag, path, kept, safe))
+        named = judged >= (INSIDE if safe else OUTSIDE) and not judge
+        low = not safe and path in branches
+        kept = not final and (main or parent.kept and not (named or low))
+        if parent.kept and not kept and judged != SILENCED:
+            removed[0 if low else 1] += 1
+        stack.append(Node(tag, path, kept, final, safe and not final))
         if tag in RAW and not empty:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
             say(source[at : end.start()] if end else source[at:])
@@ -233,7 +294,7 @@ def walk(page: str | None, branches: frozenset[int] = frozenset(), texts: bool =
     while len(stack) > 1:
         close()
     flush()
-    return blocks, nodes
+    return blocks, nodes, removed
 
 
 def extract(page: str | None, branches: frozenset[int] = frozenset()) -> str:
@@ -258,7 +319,7 @@ def style_nodes(pages: DataFrame) -> DataFrame:
             for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 key = _host(url), hashlib.md5((page or "").encode()).digest()
                 if key not in found:
-                    found[key] = [(0, 0, 0), *((path, *seen) for path, seen in walk(page, texts=False)[1].items())]
+                    found[key] = [(0, 0, 0), *((path, *seen) for path, seen in walk(page, judge=True)[1].items())]
             hosts, digests = zip(*found, strict=True)
             nodes = [[dict(zip(("path", "content", "children"), n, strict=True)) for n in own] for own in found.values()]
             yield pa.record_batch(
@@ -292,7 +353,7 @@ def site_branches(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def main_text(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """``page_id, url, text, n_chars`` of every page."""
+    """``page_id, url, text, n_chars`` of every page, and the branches that the tree and the names removed."""
     spark = pages.sparkSession
     branches = stored(spark, site_branches(pages, s), "branches")
     size = branches.agg(F.sum(F.size("branches") * 8 + F.length("host") + 64)).first()[0] or 0
@@ -302,8 +363,11 @@ def main_text(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         html, low = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        texts = [extract(page, frozenset(paths or ())) for page, paths in zip(html, low, strict=True)]
-        sizes = pa.array(np.fromiter(map(len, texts), np.int64, len(texts)))
-        return pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
-
-    return map_rows(joined.select("page_id", "url", "html", "branches"), run, "page_id long, url string, text string, n_chars long")
+        walked = [walk(page, frozenset(paths or ())) for page, paths in zip(html, low, strict=True)]
+        texts = ["\n".join(blocks) for blocks, _, _ in walked]
+        counts = [np.fromiter(map(len, texts), np.int64, len(texts)), *(np.array([w[2][k] for w in walked], np.int64) for k in (0, 1))]
+        columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), *map(pa.array, counts)]
+        return pa.record_batch(columns, ["page_id", "url", "text", "n_chars", "n_by_tree", "n_by_name"])
+
+    schema = "page_id long, url string, text string, n_chars long, n_by_tree long, n_by_name long"
+    return map_rows(joined.select("page_id", "url", "html", "branches"), run, schema)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +59,97 @@ def test_pages_lose_what_is_no_article():
     assert sites.extract(None) == sites.extract("") == sites.extract("<!-- open") == ""
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<div class="layout with-sidebar"><article>A</article></div>', "A"),
+        ('<div class="site no-header"><article>A</article></div>', "A"),
+        ('<div class="sidebar"><article>A</article></div>', "A"),
+        ('<article title="The hidden truth">A</article>', "A"),
+        ('<p>x <span title="a hidden gem">B</span> <a href="/view?id=comment">C</a></p>', "x B C"),
+        ("<article><header><h1>H</h1></header><p class=byline>by</p><div class=toc>t</div><math>m</math><div class=ad>ad</div><nav>n</nav></article>", "H\nby\nt\nm"),
+        ("<p title=don't>hello</p><p>x</p>", "hello\nx"),
+        ("<p>a<b or c</p><p>d</p>", "a<b or c\nd"),
+        ("<p>1 < 2 &amp; 3 > 2</p>", "1 < 2 & 3 > 2"),
+        ("<div class=comments><article class=comment>no</article></div><article>yes</article>", "yes"),
+        ("<div class=related><article>no</article></div><p>y", "y"),
+        ('<div class="user-comments">x</div><div id=top-menu>m</div><p>k', "k"),
+        ('<div hidden>x</div><p data-x="hidden">k', "k"),
+        ("<article><form>f</form><aside>a</aside><footer>ff</footer>t</article>", "t"),
+        ("<main><p>m</p></main><footer>x</footer>", "m"),
+    ],
+)
+def test_markup_is_read_as_it_is_meant(page, text):
+    assert sites.extract(page) == text
+
+
+@pytest.mark.parametrize("bad", ['<a b="', "<a'", "<a b='x\" ", '="', "<p title='", "<a\"<a'", "<!-", '<a b=c"', "<p>"])
+def test_long_broken_pages_take_little_time(bad):
+    page = bad * (1_000_000 // len(bad))
+    start = time.process_time()
+    sites.extract(page)
+    assert time.process_time() - start < 10
+
+
+class PlainReader(HTMLParser):
+    """Blocks of text inside article elements, by the standard library's parser."""
+
+    OUT = ("script", "style", "aside", "nav", "footer", "form")
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.out, self.blocks = 0, 0, [[]]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        self.out += tag in self.OUT
+        if tag in sites.BLOCK:
+            self.blocks.append([])
+        if tag == "br":
+            self.blocks[-1].append(" ")
+
+    def handle_endtag(self, tag):
+        if tag in sites.BLOCK:
+            self.blocks.append([])
+        self.inside -= tag == "article"
+        self.out -= tag in self.OUT
+
+    def handle_data(self, data):
+        if self.inside and not self.out:
+            self.blocks[-1].append(data)
+
+
+def test_given_pages_equal_a_plain_reading(spark):
+    pages = table(spark, TABLES, "pages").collect()
+    found = {r.page_id: r for r in registered.op1_html(spark, TABLES).collect()}
+    assert len(found) == len(pages)
+    for page in pages:
+        reader = PlainReader()
+        reader.feed(page.html or "")
+        reader.close()
+        blocks = [" ".join("".join(b).split()) for b in reader.blocks]
+        text = "\n".join(b for b in blocks if b)
+        assert (found[page.page_id].text, found[page.page_id].n_chars) == (text, len(text))
+
+
+def test_unnamed_menus_of_a_small_host_are_removed(spark):
+    page = "<body><div class=q1><ul><li>Home<li>Shop</ul></div><div class=q2><h1>Own {0}</h1><p>Words {0}</p></div><div class=q3>Rights</div>"
+    rows = [(i, "http://two.example/", page.format(i)) for i in range(2)] + [(9, "http://one.example/", page.format(9))]
+    got = {r.page_id: (r.text, r.n_by_tree) for r in sites.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {0: ("Own 0\nWords 0", 2), 1: ("Own 1\nWords 1", 2), 9: ("Home\nShop\nOwn 9\nWords 9\nRights", 0)}
+
+
+def test_pages_defined_cases(spark):
+    schema = "page_id long, url string, html string, text string, host string, branches string"
+    long = "<p>" + "word " * 200_000 + "</p>"
+    rows = [(None, None, None, "x", "y", "z"), (1, "u", "", "x", "y", "z"), (2, "http://h/", long, "x", "y", "z"), (2, "http://h/", long, "x", "y", "z")]
+    got = sites.main_text(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(r.n_chars for r in got) == [0, 0, 999_999, 999_999]
+    assert sites.main_text(spark.createDataFrame([], schema)).count() == 0
+    shuffled = sites.main_text(spark.createDataFrame(rows, schema), sites.Settings(broadcast_bytes=-1)).collect()
+    assert sorted(r.n_chars for r in shuffled) == sorted(r.n_chars for r in got)
+
+
 def test_shared_branches_of_a_site_are_removed(spark):
     rows = [
         (i, f"http://h.example/{i}", f"<body><div class=q1><p>Home</div><div class=q2><p>Own words {i}<p>Shared</div><div class=q3>Rights</div>")

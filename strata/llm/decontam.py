@@ -56,8 +56,15 @@ class Settings:
     block_bytes: int = 16 * 1024 * 1024
 
 
+#: Every ASCII character that is no letter or digit as a blank.
+PLAIN = bytes(c if chr(c).isalnum() else 32 for c in range(128)) + bytes(range(128, 256))
+
+
 def words_of(text: str | None) -> list[str]:
-    return TERM.findall((text or "").lower())
+    text = (text or "").lower()
+    if text.isascii():  # the same words, faster
+        return text.encode().translate(PLAIN).decode().split()
+    return TERM.findall(text)
 
 
 class Vocabulary:
@@ -72,16 +79,21 @@ class Vocabulary:
         return self.hashes[np.fromiter(map(self.numbers.get, words, repeat(0)), np.int64, len(words))]
 
 
-def grams(words: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n-gram at each place; of all words if there are fewer."""
+def grams(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the n-grams without unknown words, and their places; of all words if there are fewer."""
     if not len(words):
-        return words
+        return words, np.empty(0, np.int64)
     size = min(n, len(words))
-    out = np.full(len(words) - size + 1, size, np.uint64)
+    known = words != 0
+    whole = known[: len(words) - size + 1].copy()
+    for k in range(1, size):
+        whole &= known[k : k + len(whole)]
+    at = np.flatnonzero(whole)
+    out = np.full(len(at), size, np.uint64)
     for k in range(size):
-        out = (out ^ words[k : k + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
+        out = (out ^ words[at + k]) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(32)
-    return out
+    return out, at
 
 
 def align(item: np.ndarray, passage: np.ndarray, s: Settings) -> tuple[int, int, int]:
@@ -148,7 +160,7 @@ def index_items(rows: list[tuple[int | None, str | None]], s: Settings) -> Items
     words = [vocabulary.terms(text) for _, text in rows]
     sizes = [next((n for n in range(s.n, 1, -1) if needed(len(w), n, s) > 0), 1) for w in words]
     least = np.array([max(1, needed(len(w), n, s)) for w, n in zip(words, sizes, strict=True)], np.int64)
-    found = [grams(w, n) for w, n in zip(words, sizes, strict=True)]
+    found = [grams(w, n)[0] for w, n in zip(words, sizes, strict=True)]
     codes, gram = np.unique(np.concatenate([*found, np.empty(0, np.uint64)]), return_inverse=True)
     ends = np.cumsum([0, *map(len, found)])
     none = np.empty(0, np.int64)
@@ -158,7 +170,7 @@ def index_items(rows: list[tuple[int | None, str | None]], s: Settings) -> Items
 def all_grams(words: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all n-grams of a text that the items may have, and their places."""
     found = [grams(words, n) for n in items.sizes]
-    return np.concatenate([*found, np.empty(0, np.uint64)]), np.concatenate([*(np.arange(len(g)) for g in found), np.empty(0, np.int64)])
+    return np.concatenate([*(g for g, _ in found), np.empty(0, np.uint64)]), np.concatenate([*(at for _, at in found), np.empty(0, np.int64)])
 
 
 def lookup(codes: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -227,6 +227,22 @@ def test_held_out_accuracy(spark, query, label, scale, least):
     assert sum(r[0] == r[1] for r in found) >= least * len(found)
 
 
+def test_the_cut_comes_from_positive_and_unlabelled_scores():
+    positive, unlabelled = np.array([0.1, 0.4, 0.5, 0.6]), np.array([0.0, 0.05, 0.1, 0.2, 0.3, 0.35, 0.45, 0.6, 0.0, 0.0])
+    assert toxicity.best_cut(positive, unlabelled) == 0.4  # 0.75 ** 2 / 0.2 is the most
+    rows = [np.array([i % 7, 100], np.int32) for i in range(60)]
+    model = toxicity.train_with_cut([np.array([50, 100 + i % 2], np.int32) for i in range(20)], rows, 0.2, 0.7, toxicity.Settings())
+    scores = model.scores([np.array([50, 100], np.int32), rows[0]])
+    assert scores[0] >= 0.7 > scores[1]
+
+
+def test_toxic_texts_are_found(spark):
+    tables = "/root/testdata/sf0.1"
+    found = registered.op3_toxicity(spark, tables).where("held_out").join(table(spark, tables, "labels"), "doc_id")
+    hits, toxic, called = found.selectExpr("sum(toxic * predicted)", "sum(toxic)", "sum(predicted)").first()
+    assert hits >= 0.8 * toxic and hits >= 0.9 * called
+
+
 def test_classifiers_defined_cases(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 1), (2, None, None)], "doc_id long, quality int, toxic int")
     for found in (toxicity.toxicity(odd, labels), quality.quality(odd, labels), quality.quality(odd, labels.limit(0)), toxicity.toxicity(odd, labels.limit(0))):
@@ -396,6 +412,11 @@ def test_copies_and_edited_copies_of_items_are_found(spark):
     assert decontam.decontaminate(df, benchmark.limit(0)).count() == len(docs)
 
 
+def test_words_of_ascii_texts_are_the_same_ones():
+    text = "".join(map(chr, range(128))) + " A_b c-D 1.5e3 x"
+    assert decontam.words_of(text) == decontam.TERM.findall(text.lower()) and decontam.words_of(None) == []
+
+
 def test_punctuation_of_any_kind_separates_words(spark):
     benchmark = spark.createDataFrame([(1, "one two three four five six seven eight"), (2, "élan Ünder 東京 straße"), (3, "a_b c")], "item_id long, text string")
     docs = [(1, "“One two—three… four”\u00a0five、six «seven» eight"), (2, "‘ÉLAN’ ünder\u3000東京。straße"), (3, "a b c"), (4, "onetwo threefour fivesix seveneight")]
@@ -477,6 +498,11 @@ def test_layouts_and_escapes(spark):
         '{"conversations":[{"from":"u","value":"v"}]}': [("u", "v")],
         '{"prompt":"p","completion":7}': [("user", "p"), ("assistant", "7")],
         '{"messages":[]}': [],
+        '{"id":3,"messages":[{"role":"user","content":"a","name":{"x":1}}],"meta":{"role":2}}': [("user", "a")],
+        '{"prompt":"p","completion":"c","source":"web"}': [("user", "p"), ("assistant", "c")],
+        '{"prompt":"p","completion":"c","messages":[]}': None,
+        '{"messages":[{"zz":1}]}': None,
+        "[1]": None,
         '{"zz":1}': None,
         "not json": None,
     }
@@ -489,6 +515,23 @@ def test_layouts_and_escapes(spark):
     assert back[1].loss_text == rows[1][3] and back[None].loss_text == ""
 
 
+def test_unknown_records_leave_a_trace(spark):
+    rows = [(1, 0, '{"role":"user","text":"a"}'), (1, 1, '{"zz":1}'), (2, 0, "broken"), (3, 0, '{"messages":[]}')]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, record string")
+    turns = chat.canonical_turns(df, "record", "turns")
+    got = {r.conv_id: (len(r.turns), r.n_unknown) for r in chat.read_back(chat.format_conversations(turns)).collect()}
+    assert got == {1: (1, 1), 2: (0, 1), 3: (0, 0)}
+
+
+def test_chat_defined_cases(spark):
+    schema = "conv_id long, turn long, role string, text string, record string, turns string, items string"
+    long = "x " * 200_000
+    rows = [(1, 0, "user", long, "", "", ""), (1, 1, None, None, "", "", ""), (1, 1, None, None, "", "", ""), (None, None, "", "", "", "", "")]
+    got = {r.conv_id: [tuple(t) for t in r.turns] for r in chat.chat(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {1: [("user", long), ("", ""), ("", "")], None: [("", "")]}
+    assert chat.digests(chat.chat(spark.createDataFrame([], schema))).count() == 0
+
+
 # Lines
 
 
@@ -565,8 +608,8 @@ def test_bands_keep_labelled_good_texts(spark, documents):
     assert judged.where("kept").count() == judged.count() > 0
 
 
-@pytest.mark.parametrize("least", [1, 10**9])  # bands as measured, and the fixed limits alone
-def test_bands_reject_junk_and_keep_labelled_good_texts(spark, documents, least):
+@pytest.mark.parametrize("prior", [0, 500, 10**9])  # bands as measured, drawn part of the way, and the fixed limits alone
+def test_bands_reject_junk_and_keep_labelled_good_texts(spark, documents, prior):
     rng = np.random.default_rng(3)
 
     def junk(letters):
@@ -574,7 +617,7 @@ def test_bands_reject_junk_and_keep_labelled_good_texts(spark, documents, least)
 
     made = [junk("abcdefghijklmnopqrstuvwxyz"), junk("bcdfghjklmnpqrstvwxz"), junk("qxzjkvw")]
     rows = documents.select("doc_id", "text").union(spark.createDataFrame([(-1 - i, text) for i, text in enumerate(made)], "doc_id long, text string"))
-    judged = fertility.quality_rules(rows, fertility.Rules(min_documents=least)).where("not base_failed")
+    judged = fertility.quality_rules(rows, fertility.Rules(prior_documents=prior)).where("not base_failed")
     assert {r.doc_id: r.kept for r in judged.where("doc_id < 0").collect()} == {-1: False, -2: False, -3: False}
     good = judged.join(table(spark, TABLES, "labels").where("quality = 1").select("doc_id"), "doc_id")
     assert good.where("kept").count() == good.count() > 0

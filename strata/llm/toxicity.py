@@ -6,14 +6,22 @@ class-prior-corrected one that never lets the estimated negative risk fall below
 zero; the prior is the share of toxic rows among the labelled ones. An L1 step
 keeps few words, so that long texts do not add up the noise of thousands.
 
+The scores of such a model are not probabilities. Their cut is chosen from positive and
+unlabelled text too: of all cuts the one with the largest ``recall ** 2 / share called
+toxic`` on texts that the model of the other folds has not seen; it is moved to
+``threshold``.
+
 Bounds: at most ``max_positive`` toxic and ``max_unlabelled`` unlabelled texts are
-learned from (chosen by hash of their id); features are hashed to ``bits`` bits.
-Scoring reads every whole text, in one pass without a shuffle.
+learned from (chosen by hash of their id). Both come from the labelled rows that are not
+held out; as unlabelled text these count without their labels. Features are hashed to
+``bits`` bits. Scoring reads every whole text, in one pass without a shuffle.
 
 Defined cases: null and empty texts get the score of a text without words; a null
-``doc_id`` is scored and is never held out; repeated rows are scored alike; without
-a single toxic example every score is the prior (0 without labels); other columns
-of the input are not read.
+``doc_id`` is scored and is never held out; repeated rows are scored alike and learned from
+once; of equal ids with different texts one text is learned from, the same one each time;
+without a single toxic example every score is the prior (0 without labels); a long text
+counts as the set of its words; an empty table gives an empty result; other columns of the
+input, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -42,6 +50,7 @@ class Settings:
     rate: float = 0.1
     sparsity: float = 7e-3  # over the root of the number of positive examples
     min_examples: int = 3
+    folds: int = 3
 
 
 @dataclass(frozen=True)
@@ -149,6 +158,36 @@ def train(
     return Model(mean_bias, kept[used], mean_w[used])
 
 
+def _logit(p: float) -> float:
+    p = min(max(p, 1e-9), 1 - 1e-9)
+    return float(np.log(p / (1 - p)))
+
+
+def best_cut(positive: np.ndarray, unlabelled: np.ndarray) -> float | None:
+    """The score with the largest ``recall ** 2 / share of unlabelled texts above``."""
+    best = (0.0, None)
+    for cut in np.unique(positive):
+        recall, share = float(np.mean(positive >= cut)), float(np.mean(unlabelled >= cut))
+        value = recall**2 / max(share, 1 / len(unlabelled))
+        if value > best[0]:
+            best = (value, float(cut))
+    return best[1]
+
+
+def train_with_cut(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, threshold: float, s: Settings) -> Model:
+    """A model of all examples, whose scores pass ``threshold`` at the best cut."""
+    model = train(positive, unlabelled, prior, s)
+    if len(positive) < 2 * s.folds or len(unlabelled) < 2 * s.folds or not len(model.used):
+        return model
+    at_p, at_u = np.zeros(len(positive)), np.zeros(len(unlabelled))
+    for k in range(s.folds):
+        seen = [[x for i, x in enumerate(rows) if i % s.folds != k] for rows in (positive, unlabelled)]
+        other = train(*seen, prior, s)
+        at_p[k :: s.folds], at_u[k :: s.folds] = other.scores(positive[k :: s.folds]), other.scores(unlabelled[k :: s.folds])
+    cut = best_cut(at_p, at_u)
+    return model if cut is None else Model(model.bias + _logit(threshold) - _logit(cut), model.used, model.weights)
+
+
 def _chosen(ids: DataFrame, most: int) -> DataFrame:
     """At most ``most`` ids, the same ones for the same data."""
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
@@ -158,16 +197,16 @@ def _examples(documents: DataFrame, ids: DataFrame, bits: int) -> list[np.ndarra
     """Features of the chosen documents; ``ids`` is bounded by the settings."""
 
     def extract(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = features(batch.column(0).to_pylist(), Beginnings(bits))
-        return pa.record_batch([pa.array(rows, pa.list_(pa.int32()))], ["words"])
+        rows = features(batch.column(1).to_pylist(), Beginnings(bits))
+        return pa.record_batch([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "words"])
 
-    texts = documents.join(F.broadcast(ids), "doc_id").select(F.col("text").alias("text"))
-    found = map_rows(texts, extract, "words array<int>").toArrow()["words"].combine_chunks()
-    rows = [np.asarray(x.as_py(), np.int32) for x in found]
-    return sorted(rows, key=lambda r: (len(r), r.tobytes()))  # the order of tasks must not matter
+    texts = documents.join(F.broadcast(ids), "doc_id").select(F.col("doc_id").cast("long"), F.col("text").alias("text"))
+    once = map_rows(texts, extract, "doc_id long, words array<int>").groupBy("doc_id").agg(F.min("words").alias("words"))
+    found = once.orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()["words"]  # the order of tasks must not matter
+    return [np.asarray(x.as_py(), np.int32) for x in found]
 
 
-def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, threshold: float = 0.7, s: Settings = Settings()) -> Model:
     """Learn from the rows of ``labels`` that are not held out."""
     docs = documents.select("doc_id", "text")
     known = (
@@ -177,10 +216,9 @@ def fit(documents: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Mo
         .agg(F.avg("toxic").alias("toxic"))
     )
     prior = known.agg(F.avg("toxic")).first()[0] or 0.0
-    ids = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id")
     positive = _examples(docs, _chosen(known.where("toxic >= 0.5").select("doc_id"), s.max_positive), s.bits)
-    unlabelled = _examples(docs, _chosen(ids.distinct(), s.max_unlabelled), s.bits) if positive else []
-    return train(positive, unlabelled, min(max(prior, 1e-9), 0.5), s)
+    unlabelled = _examples(docs, _chosen(known.select("doc_id"), s.max_unlabelled), s.bits) if positive else []
+    return train_with_cut(positive, unlabelled, min(max(prior, 1e-9), 0.5), threshold, s)
 
 
 def score(documents: DataFrame, model: Model, s: Settings = Settings()) -> DataFrame:
@@ -197,6 +235,6 @@ def score(documents: DataFrame, model: Model, s: Settings = Settings()) -> DataF
 
 def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = 0.7, s: Settings = Settings()) -> DataFrame:
     """Fit, score and decide: ``doc_id, held_out, score, predicted``."""
-    scored = score(documents, fit(documents, labels, s), s)
+    scored = score(documents, fit(documents, labels, threshold, s), s)
     decided: Column = (F.col("score") >= threshold).cast("int")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", decided.alias("predicted"))

@@ -3,9 +3,9 @@
 A public vocabulary measures each whole text: characters per token, the share of
 tokens that are bytes the vocabulary has no piece for (line breaks and tabs aside),
 and the entropy of the tokens. A band per script rejects texts outside it: it is
-set from the outer percents of these measures over all documents that pass the base
-rules, and never wider than the fixed limits of ``BANDS``, which hold alone for scripts of
-fewer than ``min_documents`` such documents. Simple counts of words, symbols, repeated lines and repeated 8-word windows come first;
+the fixed limits of ``BANDS`` drawn inwards, to the outer percents of these measures over
+all ``n`` documents that pass the base rules, by ``n / (n + prior_documents)`` of the way.
+Simple counts of words, symbols, repeated lines and repeated 8-word windows come first;
 texts they fail are not judged further.
 
 One pass over the table, whose counts and measures are stored without texts; what is
@@ -13,7 +13,9 @@ shuffled are histograms of the measures in thousandths. The vocabulary file is r
 (``model_path`` is a parameter) and travels with the job.
 
 Defined cases: a null or empty text has no words and fails the base rules; repeated
-rows are judged alike and count as documents; a null ``doc_id`` stays null; other columns are not read.
+rows are judged alike and count as documents; a null ``doc_id`` stays null; a long text is
+a batch of its own; an empty table gives an empty result; other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations
@@ -80,7 +82,7 @@ class Rules:
     outer_percent: float = 1.0
     slack: tuple[float, float] = (0.65, 1.5)  # below and above: times the way from the median to the outer percent
     least_byte_share: float = 0.05
-    min_documents: int = 500
+    prior_documents: int = 500
 
 
 def script_of(text: bytes) -> str:
@@ -145,7 +147,7 @@ class Words(dict):
     encoded apart, each once.
     """
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __init__(self, model: bytes):
         super().__init__()
@@ -211,8 +213,11 @@ def measured_bands(measured: DataFrame, rules: Rules) -> dict[str, Band]:
 
 
 def _narrowed(band: Band, histograms: list[list[tuple[int, int]]], rules: Rules) -> Band:
-    if sum(n for _, n in histograms[0]) < rules.min_documents:
+    """The fixed ``band`` drawn towards the measured one, the more the more documents were measured."""
+    total = sum(n for _, n in histograms[0])
+    if not total:
         return band
+    trust = total / (total + rules.prior_documents)
     fences = []
     for histogram in histograms:
         values, counts = np.array(sorted(histogram)).T
@@ -220,8 +225,14 @@ def _narrowed(band: Band, histograms: list[list[tuple[int, int]]], rules: Rules)
         low, middle, high = (values[np.searchsorted(np.cumsum(counts), shares * counts.sum())] / 1000).tolist()
         fences.append((low - rules.slack[0] * (middle - low), high + rules.slack[1] * (high - middle)))
     (least, most), (_, share), (entropy, _) = fences
-    chars = max(band.chars_per_token[0], least), min(band.chars_per_token[1], most)
-    return Band(chars, min(band.byte_share, max(share, rules.least_byte_share)), max(band.entropy, entropy))
+
+    def drawn(fixed: float, measured: float) -> float:
+        return fixed + trust * (measured - fixed)
+
+    fixed_least, fixed_most = band.chars_per_token
+    chars = drawn(fixed_least, max(fixed_least, least)), drawn(fixed_most, min(fixed_most, most))
+    narrow = min(band.byte_share, max(share, rules.least_byte_share))
+    return Band(chars, drawn(band.byte_share, narrow), drawn(band.entropy, max(band.entropy, entropy)))
 
 
 def within(bands: dict[str, Band]) -> Column:

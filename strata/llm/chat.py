@@ -11,12 +11,14 @@ inside the marked turn, in code points.
 Defined cases: a null role or text is empty; a conversation without rows does not
 appear; rows of a conversation are taken by turn (nulls first), then by role and
 text, so ties and repeated rows have one order; a null ``conv_id`` is one
-conversation of its own; a record whose paths no mapping knows has null turns; an
-empty table gives an empty result; other columns are not read.
+conversation of its own; a record whose paths no mapping knows has null turns, and its
+conversation appears with it in ``n_unknown``; a long text is one turn; an empty table
+gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -73,24 +75,54 @@ LAYOUTS = (
 )
 
 
+def _shape(variant: Column) -> Column:
+    """Hash of a record's nested field paths; fields' order and scalar types do not count."""
+    scalar = r"\b(?!OBJECT\b|ARRAY\b)[A-Z]+(\(\d+,\s*\d+\))?(?=[,>]|$)"
+    return F.xxhash64(F.regexp_replace(F.schema_of_variant(variant), scalar, "?"))
+
+
 def fingerprint(record: Column) -> Column:
-    """Hash of a JSON record's nested field paths; fields' order and scalar types do not count.
+    """Hash of a JSON record's nested field paths; null fields count as scalars of their path."""
+    return _shape(F.try_parse_json(record))
 
-    Null fields count as scalars of the path they stand at.
-    """
-    shape = F.schema_of_variant(F.try_parse_json(record))
-    return F.xxhash64(F.regexp_replace(shape, r"\b(?!OBJECT\b|ARRAY\b)[A-Z]+(\(\d+,\s*\d+\))?(?=[,>]|$)", "?"))
+
+def _fields(layouts: tuple[Layout, ...]) -> tuple[set[str], set[str]]:
+    """Field names that the layouts use: of records, and of the items of their lists."""
+    outer, inner = set(), set()
+    for layout in layouts:
+        for name, value in json.loads(layout.example).items():
+            outer.add(name)
+            inner.update(k for item in value for k in item) if isinstance(value, list) else None
+    return outer, inner
+
+
+def _needed(layouts: tuple[Layout, ...]) -> Column:
+    """The record ``_r`` without fields that no layout uses."""
+    outer, inner = (", ".join(f"'{n}'" for n in sorted(names)) for names in _fields(layouts))
+    item = f"to_variant_object(map_filter(try_variant_get(m, '$', 'map<string, variant>'), (k, v) -> k IN ({inner})))"
+    items = f"transform(try_variant_get(v, '$', 'array<variant>'), m -> if(schema_of_variant(m) LIKE 'OBJECT%', {item}, m))"
+    known = f"map_filter(try_variant_get(_r, '$', 'map<string, variant>'), (k, v) -> k IN ({outer}))"
+    listed = f"if(schema_of_variant(v) LIKE 'ARRAY%', to_variant_object({items}), v)"
+    some = f"schema_of_variant(_r) LIKE 'OBJECT%' AND cardinality({known}) > 0"
+    return F.expr(f"if({some}, to_variant_object(transform_values({known}, (k, v) -> {listed})), NULL)")
 
 
 def canonical_turns(df: DataFrame, record: str, into: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """Column ``into``: the turns of the JSON text in column ``record``, null for unknown layouts."""
+    """Column ``into``: the turns of the JSON text in column ``record``, null for unknown layouts.
+
+    A record of another shape is fingerprinted once more without the fields that no layout
+    uses, so ids, sources and other extra fields do not make a layout unknown.
+    """
     parsed = df.withColumns({"_r": F.try_parse_json(record), "_paths": fingerprint(F.col(record))})
+    shapes = F.array(*(fingerprint(F.lit(layout.example)) for layout in layouts))
+    listed = F.array_contains(shapes, F.col("_paths"))
+    shaped = parsed.withColumn("_paths", F.when(listed, F.col("_paths")).otherwise(_shape(_needed(layouts))))
     chosen = None
     for layout in layouts:
         known = F.col("_paths") == fingerprint(F.lit(layout.example))
         turns = F.expr(f"element_at(transform(array(_r), r -> cast({layout.turns} as {TURNS})), 1)")
         chosen = F.when(known, turns) if chosen is None else chosen.when(known, turns)
-    return parsed.withColumn(into, chosen).drop("_r", "_paths")
+    return shaped.withColumn(into, chosen).drop("_r", "_paths")
 
 
 @dataclass(frozen=True)
@@ -132,15 +164,17 @@ def _quoted(text: str) -> str:
 
 
 def format_conversations(rows: DataFrame, template: Template = Template(), block: int = 64) -> DataFrame:
-    """``conv_id``, ``formatted`` and ``loss_mask`` of every conversation.
+    """``conv_id``, ``formatted``, ``loss_mask`` and ``n_unknown`` of every conversation.
 
-    ``rows`` has ``conv_id``, ``turn`` and canonical ``turns`` (an array, usually of
+    ``n_unknown`` counts the records that no layout could read; they are not in the
+    text. ``rows`` has ``conv_id``, ``turn`` and canonical ``turns`` (an array, usually of
     one). Blocks of turns are put together first, so that a long conversation meets
     in one task as a few blocks and not as all its rows.
     """
     each = rows.select(
-        "conv_id", "turn", F.floor(F.col("turn") / block).alias("block"), F.posexplode("turns").alias("part", "t")
-    ).select("conv_id", "block", "turn", "part", F.coalesce("t.role", F.lit("")).alias("role"), F.coalesce("t.text", F.lit("")).alias("text"))
+        "conv_id", "turn", F.floor(F.col("turn") / block).alias("block"), F.col("turns").isNull().alias("unknown"),
+        F.posexplode_outer("turns").alias("part", "t"),
+    ).select("conv_id", "block", "turn", "unknown", "part", F.coalesce("t.role", F.lit("")).alias("role"), F.coalesce("t.text", F.lit("")).alias("text"))
     role, text = F.col("role"), F.col("text")
     item = F.struct(
         "turn", "part", "role", "text",
@@ -148,17 +182,19 @@ def format_conversations(rows: DataFrame, template: Template = Template(), block
         F.when(role.isin(*template.trained), template.span(role, text)).alias("span"),
     )
     ordered = F.transform(
-        F.array_sort(F.collect_list(item)), lambda t: F.struct(t["marked"].alias("marked"), t["span"].alias("span"))
+        F.array_sort(F.collect_list(F.when(F.col("part").isNotNull(), item))), lambda t: F.struct(t["marked"].alias("marked"), t["span"].alias("span"))
     )
-    blocks = each.groupBy("conv_id", "block").agg(ordered.alias("items"))
+    blocks = each.groupBy("conv_id", "block").agg(ordered.alias("items"), F.count_if("unknown").alias("unknown"))
     whole = blocks.groupBy("conv_id").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "items"))), lambda b: b["items"])).alias("items")
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "items"))), lambda b: b["items"])).alias("items"),
+        F.sum("unknown").alias("n_unknown"),
     )
     mask = F.transform("items", lambda t, i: F.struct(i.alias("turn"), t["span"].alias("span")))
     return whole.select(
         "conv_id",
         F.array_join(F.transform("items", lambda t: t["marked"]), "").alias("formatted"),
         F.filter(mask, lambda m: m["span"].isNotNull()).alias("loss_mask"),
+        "n_unknown",
     )
 
 

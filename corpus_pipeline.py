@@ -1,8 +1,8 @@
 """A corpus from raw documents to token ids, in five stages.
 
 Each stage gets what the one before kept, as a stored table. The first four return
-the columns of ``documents``; the last adds the ids of each text and the text that
-they decode to.
+the columns of ``documents``; the last adds ``ids``, the text ``decoded`` from them and
+``n_tokens``, in place of columns that have these names.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontam, lines, minhash, pieces, quality
-from strata.llm.common import stored, table
+from strata.llm.common import table
+from strata.scratch import remove, scratch_dir, scratch_scope
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +41,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and the text they decode to."""
-    return pieces.encode_and_decode(docs).withColumn("n_tokens", F.when(F.col("ids").isNotNull(), F.size("ids")).otherwise(0))
+    coded = pieces.encode_and_decode(docs)
+    rest = [c for c in coded.columns if c.lower() != "n_tokens"]
+    return coded.select(*(F.col(f"`{c}`") for c in rest), F.coalesce(F.array_size("ids"), F.lit(0)).alias("n_tokens"))
 
 
 STAGES = [
@@ -56,7 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; a stage's own tables go when its result is stored, its input after the next one."""
+    docs, held = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(spark, stage(spark, docs, sf_dir), name)
+        path = scratch_dir(spark, name)
+        with scratch_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if held is not None:
+            remove(spark, held)
+        docs, held = spark.read.schema(out.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 from uuid import uuid4
@@ -12,7 +13,15 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-_scopes: list[list[str]] = []
+
+class _Scopes(threading.local):
+    """Open scopes of a thread, innermost last: layer runs write several tables at once."""
+
+    def __init__(self) -> None:
+        self.open: list[list[str]] = []
+
+
+_scopes = _Scopes()
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -28,8 +37,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     path = f"{base.rstrip('/')}/{label}-{uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    if _scopes.open:
+        _scopes.open[-1].append(path)
     return path
 
 
@@ -41,16 +50,16 @@ def remove(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
-    """Delete, at the end, the scratch folders made inside.
+    """Delete, at the end, the scratch folders that this thread made inside.
 
     For code that has written its result: a DataFrame that still reads such a folder
     must not leave the scope.
     """
     made: list[str] = []
-    _scopes.append(made)
+    _scopes.open.append(made)
     try:
         yield made
     finally:
-        _scopes.remove(made)
+        _scopes.open.pop()
         for path in made:
             remove(spark, path)

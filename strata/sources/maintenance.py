@@ -187,4 +187,9 @@ def orphan_files(
         used = spark.createDataFrame([(path,) for path in live.inputFiles()], "path string").distinct()
     age = F.unix_micros(moment(as_of)) - F.unix_micros("modified")
     old = age > F.lit(int(retention_hours * 3_600_000_000))
-    return data_files(spark, root, glob).filter(old).join(used, "path", "left_anti")
+
+    def name(path: str) -> Column:  # local files are written with one slash or three
+        return F.regexp_replace(path, "^file:/+", "file:/")
+
+    names = used.select(name("path").alias("__name"))
+    return data_files(spark, root, glob).filter(old).join(names, name("path") == F.col("__name"), "left_anti")

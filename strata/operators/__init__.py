@@ -3,6 +3,7 @@
 from strata.operators.audit import stamp_layer, with_audit, with_ingestion_year
 from strata.operators.caching import cached
 from strata.operators.dedup import dedup_latest, dedup_stats
+from strata.operators.heavy import Heavy, broadcast_if_small, heavy_keys, join_heavy
 from strata.operators.joins import (
     attach,
     enrich_left,
@@ -27,7 +28,11 @@ __all__ = [
     "dedup_stats",
     "enrich_left",
     "fill_defaults",
+    "Heavy",
+    "broadcast_if_small",
     "growth_pct",
+    "heavy_keys",
+    "join_heavy",
     "normalize_text",
     "null_gate",
     "preaggregate",

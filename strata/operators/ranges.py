@@ -32,14 +32,27 @@ def order_codes(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
     return codes
 
 
-def text_edges(df: DataFrame, text: Column, ranges: int) -> list[str]:
+#: Distinct texts whose counts the driver may hold.
+FEW_TEXTS = 10_000
+
+
+def text_edges(df: DataFrame, text: Column, ranges: int, few: int = FEW_TEXTS) -> list[str]:
     """Values at which the running share of rows, in text order, crosses ``i / ranges``.
 
-    Whole texts are counted, sorted over many tasks and summed by task; only the
-    edges reach the driver. Runs jobs, over a scratch table of the distinct texts.
+    Whole texts are counted. Up to ``FEW_TEXTS`` of them the driver finds the edges;
+    beyond, counts are sorted over many tasks, in a scratch table, and summed by task,
+    and only the edges reach the driver. Both give the same edges. Runs jobs.
     """
     spark = df.sparkSession
     counts = df.select(text.alias("v")).where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    first = counts.limit(few + 1).collect()
+    if len(first) <= few:
+        edges, seen, total = [], 0, sum(n for _, n in first)
+        for value, n in sorted(first, key=lambda row: row[0].encode()):
+            if seen and seen * ranges // total < (seen + n) * ranges // total:
+                edges.append(value)
+            seen += n
+        return edges
     path = scratch_dir(spark, "texts")
     counts.repartitionByRange("v").select("v", "n", F.spark_partition_id().alias("p")).write.parquet(path)
     sorted_ = spark.read.schema("v string, n long, p int").parquet(path)
@@ -52,7 +65,7 @@ def text_edges(df: DataFrame, text: Column, ranges: int) -> list[str]:
     steps = sorted_.join(offsets, "p").select("v", (last - F.col("n")).alias("low"), last.alias("high"))
     crossed = F.floor(F.col("low") * ranges / total) < F.floor(F.col("high") * ranges / total)
     edges = steps.where(crossed & (F.col("low") > 0)).select("v")
-    return sorted(row[0] for row in edges.collect()) if total else []
+    return sorted((row[0] for row in edges.collect()), key=str.encode) if total else []
 
 
 def range_edges(

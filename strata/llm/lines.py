@@ -19,7 +19,8 @@ hot line are combined before the shuffle; its join side is skewed and can be spl
 
 Defined cases: a null text stays null; an empty text stays empty; a text may become
 empty; rows with equal id and text are one document and get one result; a null id
-comes before all others; an empty table gives an empty result; other columns are kept.
+comes before all others; a long text is as many rows as lines; an empty table gives an empty
+result; other columns are kept.
 """
 
 from __future__ import annotations

@@ -16,8 +16,9 @@ their id). Corpus sums and scores cover all rows and whole texts.
 
 Defined cases: null and empty texts have the zero vector and get its score; a null
 ``doc_id`` is scored and is never held out; repeated rows are scored alike;
-conflicting labels of an id are averaged; without labels every score is 0.5; other
-columns of the input are not read.
+conflicting labels of an id are averaged; without labels every score is 0.5; a long text is
+pooled in blocks; an empty table gives an empty result; other columns of the input, whatever
+their names, are not read.
 """
 
 from __future__ import annotations

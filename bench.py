@@ -29,6 +29,9 @@ from strata.sources import LayerPaths, compact, read_table, scratch_dir, zorder
 from verification import fixtures as fx  # noqa: E402
 
 
+FILE_BYTES = 1024 * 1024
+
+
 def session(cpus: str) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -82,7 +85,7 @@ def queries(spark: SparkSession, paths: LayerPaths) -> dict[str, Callable[[], Da
         "win_rank": lambda: op.rank_within(monthly(), "revenue", kpi.MONTH, "place"),
         "win_rank_spread": lambda: op.rank_within(
             sales.select("order_id", "order_year", "net_sales_amount"),
-            "net_sales_amount", ["order_year"], "place", spread=64,
+            "net_sales_amount", ["order_year"], "place", spread=int(spark.conf.get("spark.sql.shuffle.partitions")),
         ),
         "win_mom_growth": lambda: op.growth_pct(monthly(), "revenue", ["region"], kpi.MONTH, "g"),
         "win_share": lambda: op.share_of_total(monthly(), "revenue", kpi.MONTH, "share"),
@@ -101,10 +104,10 @@ def rewrites(spark: SparkSession, paths: LayerPaths) -> dict[str, Callable[[], N
 
     def compaction() -> None:
         dst = scratch_dir(spark, "bench-compact")
-        compact(spark, src, dst, target_files=8, partition_cols=["order_year"])
+        compact(spark, src, dst, target_bytes=FILE_BYTES, partition_cols=["order_year"])
 
     def clustering() -> None:
-        zorder(spark, src, scratch_dir(spark, "bench-z"), ["region", "order_date"], target_files=8)
+        zorder(spark, src, scratch_dir(spark, "bench-z"), ["region", "order_date"], target_bytes=FILE_BYTES)
 
     return {"mnt_compact": compaction, "mnt_zorder": clustering}
 

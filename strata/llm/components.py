@@ -8,12 +8,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_batches, stored
+from strata.llm.common import map_batches, pieces, stored
 
 
 def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replaces the links of an Arrow batch by a link from each node to its group's smallest."""
-    for batch in batches:
+    """Replaces links, 100,000 at a time, by a link from each node to its group's smallest."""
+    for batch in pieces(batches, 100_000):
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:

@@ -50,6 +50,16 @@ def new_files(spark: SparkSession, inputs: str | Sequence[str], manifest: str) -
     return list_files(spark, inputs).join(read_manifest(spark, manifest).select(*VERSION), VERSION, "left_anti")
 
 
+def store_new_files(spark: SparkSession, inputs: str | Sequence[str], manifest: str, path: str) -> DataFrame:
+    """``new_files`` as one file at ``path``; returns the stored list.
+
+    A shuffle, and not ``coalesce``, brings the few rows together: the listing has a task
+    for every 128 MB of input, and one task would hold the joined manifest once for each.
+    """
+    new_files(spark, inputs, manifest).repartition(1).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def literal_path(path: str) -> str:
     """The path as a glob that matches it alone."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)

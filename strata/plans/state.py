@@ -80,12 +80,14 @@ def refresh_state(
     logistics = read_table(spark, paths.silver("logistics"), fmt, merge_schema=False, text_partitions=("status",))
     if not is_exact(sales, "net_sales_amount"):
         raise ValueError("the state needs decimal amounts, see run_silver(money=...)")
-    if months is None:
+    whole = months is None
+    if whole:
         months = partitions_of(sales, kpi.MONTH)
         if fmt == "parquet":
             months = sorted({*months, *_stored_months(spark, paths)}, key=str)
     chosen = sales.where(in_partitions(kpi.MONTH, months))
-    shipped = logistics.join(chosen.select("order_id").distinct(), "order_id", "left_semi")
+    # Of a full refresh all shipments count; those without an order fall out of the left join.
+    shipped = logistics if whole else logistics.join(chosen.select("order_id").distinct(), "order_id", "left_semi")
     used = chosen.select(*GRAIN, *kpi.MONTH, "order_id", "customer_id", "net_sales_amount", "sales_amount", "discount", "quantity")
     orders = preaggregate_then_left_join(used, shipped, "order_id", kpi.order_shipping(exact=True))
     numbers = add_numbers(chosen, "customer_id", _path(paths, "customer_numbers"))
